@@ -1 +1,391 @@
-"""x"""
+"""Queries: scaling, components, layers, grids, classifiers, saved models and metrics."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flowmosaic.catalog.registry import query
+from flowmosaic.catalog.sql import uniform_sql, weight_sql, with_ctes
+from flowmosaic.catalog.tables import (
+    SEED,
+    SPEC,
+    WIDTH,
+    event_days,
+    event_flow,
+    kernel,
+    net_weights,
+    predictions,
+    vector_points,
+    vectors,
+    weight,
+    weight_column,
+)
+from flowmosaic.catalog.tables_queries import CELL, key, r
+from flowmosaic.functions import scoring
+from flowmosaic.operators import features, grid, metrics, models
+from flowmosaic.operators.forward import extract_features as extract_features_op
+from flowmosaic.operators.splits import split_fraction
+from flowmosaic.plans import classify
+from flowmosaic.schema import N_OTHERS
+from flowmosaic.session import shared_dir
+from flowmosaic.sources.registry import ModelRegistry
+
+# -- scaling and components ----------------------------------------------------------------------
+
+
+@query(with_ctes("stats", "SELECT i, round(mean, 6) AS mean, round(std, 6) AS std FROM stats"))
+def scaler_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = vector_points(spark, sf_dir)
+    return features.scaler_table(points, features.fit_scaler(points)).select("i", r("mean"), r("std"))
+
+
+@query(with_ctes("stats", """SELECT vec_id, i, round((x - mean) / std, 5) AS value
+    FROM vec_long JOIN stats USING (i)"""))
+def scaler_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = vector_points(spark, sf_dir)
+    scaled = features.fit_scaler(points).transform(points)
+    return features.vector_rows(scaled, "vec_id", "scaled").select("vec_id", "i", r("value", 5))
+
+
+_SPLIT_U = uniform_sql("split", "vec_id")
+
+
+def _vector_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return classify.split_roles(split_fraction(vector_points(spark, sf_dir), ["vec_id"], 0.8, SEED))
+
+
+@query(with_ctes("vec_long", """SELECT vec_id, i, round((x - mean) / std, 5) AS value
+    FROM (SELECT * FROM drawn WHERE u >= 0.8) t JOIN
+    (SELECT i, avg(x) AS mean, stddev_samp(x) AS std FROM drawn WHERE u < 0.8 GROUP BY i) s USING (i)""",
+    f"drawn AS (SELECT *, {_SPLIT_U} AS u FROM vec_long)"))
+def scaler_cross_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on the train part, applied to the test part."""
+    train, test = _vector_split(spark, sf_dir)
+    scaled = features.fit_scaler(train).transform(test)
+    return features.vector_rows(scaled, "vec_id", "scaled").select("vec_id", "i", r("value", 5))
+
+
+@query(with_ctes("vec_long", """SELECT a.i AS i, b.i AS j, round(covar_samp(a.x, b.x), 6) AS cov
+    FROM vec_long a JOIN vec_long b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i"""))
+def covariance_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.covariance_matrix(vector_points(spark, sf_dir)).select("i", "j", r("cov"))
+
+
+def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = vector_points(spark, sf_dir)
+    return features.fit_scaler(points).transform(points)
+
+
+@query()
+def pca_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of variance of each component."""
+    model = features.fit_pca(_scaled(spark, sf_dir), 10)
+    rows = [(k, float(share)) for k, share in enumerate(model.explainedVariance)]
+    return spark.createDataFrame(rows, "component INT, variance_share DOUBLE")
+
+
+@query()
+def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scaled = _scaled(spark, sf_dir)
+    projected = features.fit_pca(scaled, 10).transform(scaled)
+    return features.vector_rows(projected, "vec_id", "components")
+
+
+@query(with_ctes("vec_long", """SELECT vec_id, round(sum(x * x), 5) AS energy
+    FROM vec_long GROUP BY vec_id"""))
+def pca_full_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All components kept: a rotation, so each row's squared length must survive unchanged."""
+    points = vector_points(spark, sf_dir)
+    rotated = features.fit_pca(points, WIDTH, "features").transform(points)
+    squares = F.aggregate(vector_to_array("components"), F.lit(0.0), lambda acc, x: acc + x * x)
+    return rotated.select("vec_id", F.round(squares, 5).alias("energy"))
+
+
+@query()
+def optional_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same classifier with and without components."""
+    train, test = _vector_split(spark, sf_dir)
+    plain = models.train_model(train, test, 3, 100).withColumn("pca_k", F.lit(0))
+    reduced = models.train_model(train, test, 3, 100, pca_k=10).withColumn("pca_k", F.lit(10))
+    return plain.unionByName(reduced)
+
+
+# -- layers --------------------------------------------------------------------------------------
+
+
+@query(with_ctes("vec_long", f"""SELECT vec_id, round(sum(x * {weight_sql('i', '0')}) + 0.1, 6) AS score,
+    CASE WHEN sum(x * {weight_sql('i', '0')}) + 0.1 > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+    FROM vec_long GROUP BY vec_id"""))
+def linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    score = features.linear_score(F.col("features"), weight_column(0), 0.1)
+    return vectors(spark, sf_dir).select("vec_id", score.alias("score")).select(
+        "vec_id", r("score"), scoring.threshold(F.col("score")).alias("prediction")
+    )
+
+
+@query(with_ctes("vec_long", f"""SELECT vec_id, CAST(j AS INTEGER) AS j,
+    round(sum(x * {weight_sql('i', 'j')}) + j / CAST(10 AS DOUBLE), 6) AS value
+    FROM vec_long CROSS JOIN (SELECT unnest(range(8)) AS j) u GROUP BY vec_id, j"""))
+def dense_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = [[weight(i, j) for j in range(8)] for i in range(WIDTH)]
+    layer = features.dense_layer(F.col("features"), weights, [j / 10 for j in range(8)])
+    long = vectors(spark, sf_dir).select("vec_id", F.posexplode(layer).alias("j", "value"))
+    return long.select("vec_id", "j", r("value"))
+
+
+@query(with_ctes("flow", """SELECT date, slot, r AS grid_row, c AS grid_col, round(sum(v * w), 5) + 0.0 AS value
+    FROM (SELECT date, slot, grid_row - a + 2 AS r, grid_col - b + 2 AS c, inflow AS v,
+          ((a * 5 + b) % 7 - 3) / CAST(10 AS DOUBLE) AS w
+          FROM flow CROSS JOIN (SELECT CAST(unnest(range(5)) AS INTEGER) AS a) x
+          CROSS JOIN (SELECT CAST(unnest(range(5)) AS INTEGER) AS b) y) t
+    WHERE r BETWEEN 0 AND 3 AND c BETWEEN 0 AND 3 GROUP BY date, slot, r, c"""))
+def grid_stencil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = grid.grid_stencil(event_flow(spark, sf_dir), SPEC, kernel(), "inflow", "value")
+    return out.select(key(), *CELL, (F.round("value", 5) + 0.0).alias("value"))
+
+
+def _pool_sql(size: int) -> str:
+    return with_ctes("flow", f"""SELECT date, slot, CAST(grid_row // {size} AS INTEGER) AS grid_row,
+    CAST(grid_col // {size} AS INTEGER) AS grid_col, round(max(inflow), 4) AS inflow,
+    round(max(outflow), 4) AS outflow FROM flow GROUP BY date, slot, grid_row // {size}, grid_col // {size}""")
+
+
+def _pooled(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+    pooled = grid.grid_pool(event_flow(spark, sf_dir), size, ["inflow", "outflow"])
+    return pooled.select(key(), *CELL, r("inflow", 4), r("outflow", 4))
+
+
+@query(_pool_sql(2))
+def grid_pool_2x2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pooled(spark, sf_dir, 2)
+
+
+@query(_pool_sql(4))
+def grid_pool_4x4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pooled(spark, sf_dir, 4)
+
+
+@query(with_ctes("flow", """SELECT date, slot, CAST(r.v // 2 AS INTEGER) AS grid_row, CAST(c.v // 2 AS INTEGER) AS grid_col,
+    round(max(coalesce(inflow, 0) - coalesce(outflow, 0)), 4) + 0.0 AS net
+    FROM (SELECT DISTINCT date, slot FROM flow) s CROSS JOIN (SELECT unnest(range(4)) AS v) r
+    CROSS JOIN (SELECT unnest(range(4)) AS v) c
+    LEFT JOIN flow f ON f.date = s.date AND f.slot = s.slot AND f.grid_row = r.v AND f.grid_col = c.v
+    GROUP BY s.date, s.slot, r.v // 2, c.v // 2""").replace("SELECT date, slot, CAST(r.v", "SELECT s.date, s.slot, CAST(r.v"))
+def pool_net_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Net flow can be negative, so absent cells must be zeros before the maximum."""
+    filled = grid.net_flow(grid.zero_fill(event_flow(spark, sf_dir), SPEC))
+    pooled = grid.grid_pool(filled, 2, ["net"])
+    return pooled.select(key(), *CELL, (F.round("net", 4) + 0.0).alias("net"))
+
+
+# -- classifiers ---------------------------------------------------------------------------------
+
+
+@query(with_ctes("stats", """SELECT vec_id, round(w * z, 6) + 0.0 AS score,
+    CASE WHEN w * z > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+    FROM z CROSS JOIN (SELECT sum(z * label) / sum(z * z) AS w FROM z) f""",
+    """z AS (SELECT vec_id, label, (x - mean) / std AS z FROM vec_long JOIN stats USING (i) WHERE i = 0)"""))
+def linreg_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least squares through the origin on one scaled feature, cut at 0."""
+    points = vectors(spark, sf_dir).select(
+        "vec_id",
+        F.col("label").cast("double").alias("label"),
+        array_to_vector(F.slice("features", 1, 1)).alias("features"),
+    )
+    model = models.fit_classifier(points, 1, 100)
+    out = models.predict(model, points)
+    return out.select("vec_id", (F.round("score", 6) + 0.0).alias("score"), "prediction")
+
+
+def _fit_predict(spark: SparkSession, sf_dir: str, kind: int, iterations: int) -> DataFrame:
+    train, test = _vector_split(spark, sf_dir)
+    model = models.fit_classifier(train, kind, iterations, seed=SEED)
+    return models.predict(model, test).select("vec_id", "label", "score", "prediction")
+
+
+@query()
+def logreg_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fit_predict(spark, sf_dir, 2, 100)
+
+
+@query()
+def logreg_lbfgs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fit_predict(spark, sf_dir, 3, 100)
+
+
+@query()
+def linear_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fit_predict(spark, sf_dir, 4, 100)
+
+
+@query()
+def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fit_predict(spark, sf_dir, 5, 20)
+
+
+@query()
+def model_bakeoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _vector_split(spark, sf_dir)
+    runs = [(kind, 20 if kind == 5 else 100) for kind in models.KINDS]
+    return models.model_bakeoff(train, test, runs)
+
+
+@query()
+def mlp_day_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flow = event_flow(spark, sf_dir)
+    points = classify.pooled_points(flow, event_days(spark, sf_dir), SPEC, 2)
+    width = SPEC.channels * (SPEC.rows // 2) * (SPEC.cols // 2) + N_OTHERS
+    _, out = classify.neural_day_classifier(points, width, 30, seed=SEED)
+    return out.select(key(), "label", "score", "prediction")
+
+
+@query()
+def training_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _vector_split(spark, sf_dir)
+    return models.accuracy_trace(train, test, 2, [1, 5, 20], SEED)
+
+
+@query()
+def objective_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _vector_split(spark, sf_dir)
+    return models.objective_trace(models.fit_classifier(train, 2, 50), train)
+
+
+@query()
+def extract_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract_features_op(event_days(spark, sf_dir), SPEC, net_weights())
+    return out.select(key(), "label", F.posexplode("features").alias("i", "value"))
+
+
+@query()
+def features_then_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.classify_extracted(
+        event_days(spark, sf_dir), SPEC, net_weights(), kind=2, iterations=100, seed=SEED
+    )
+
+
+@query("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed FROM embeddings")
+def checkpoint_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of a saved and restored model equal those of the fitted one."""
+    points = vector_points(spark, sf_dir)
+    fitted = models.fit_classifier(points, 2, 20)
+    registry = ModelRegistry(spark, shared_dir(spark, "models"))
+    for step in (1000, 2000):
+        registry.save(fitted, step)
+    before = models.predict(fitted, points).select("vec_id", "score", "prediction")
+    after = models.predict(registry.restore("latest"), points).select(
+        "vec_id", F.col("score").alias("score2"), F.col("prediction").alias("prediction2")
+    )
+    changed = (F.col("score") != F.col("score2")) | (F.col("prediction") != F.col("prediction2"))
+    return before.join(after, "vec_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(changed, 1)).alias("n_changed")
+    )
+
+
+# -- losses and metrics --------------------------------------------------------------------------
+
+
+@query(with_ctes("pred", """SELECT round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+    count(*) AS n_rows FROM pred"""))
+def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.accuracy(predictions(spark, sf_dir)).select(r("accuracy"), "n_rows")
+
+
+def _probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    margin = (F.col("score") - 1000) / 1000
+    return predictions(spark, sf_dir).select(
+        scoring.softmax(F.array(margin, F.lit(0.0))).alias("p"),
+        F.array(F.col("label"), 1 - F.col("label")).alias("y"),
+    )
+
+
+_CE_SQL = """SELECT -sum(label * ln(p + 1e-10) + (1 - label) * ln(q + 1e-10)) AS cross_entropy
+    FROM (SELECT label, CASE WHEN m > 0 THEN 1 / (1 + exp(-m)) ELSE exp(m) / (1 + exp(m)) END AS p,
+    CASE WHEN m > 0 THEN exp(-m) / (1 + exp(-m)) ELSE 1 / (1 + exp(m)) END AS q
+    FROM (SELECT label, (score - 1000) / 1000 AS m FROM pred) a) b"""
+
+
+@query(with_ctes("pred", f"SELECT round(cross_entropy, 4) AS cross_entropy FROM ({_CE_SQL}) c"))
+def cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.cross_entropy(_probabilities(spark, sf_dir), "p", "y").select(r("cross_entropy", 4))
+
+
+_L2_SQL = """SELECT sum(x * x) / 2 * (10.0 / CAST(count(DISTINCT vec_id) AS DOUBLE)) AS l2_penalty
+    FROM vec_long"""
+
+
+def _penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings as a weights table, scale 10 / number of rows."""
+    stored = vectors(spark, sf_dir)
+    weights = stored.select("vec_id", F.posexplode("features").alias("i", "w"))
+    scale = F.lit(10.0) / stored.agg(F.count(F.lit(1)).cast("double")).scalar()
+    return metrics.l2_penalty(weights, scale)
+
+
+@query(with_ctes("vec_long", f"SELECT round(l2_penalty, 6) AS l2_penalty FROM ({_L2_SQL}) p"))
+def l2_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _penalty(spark, sf_dir).select(r("l2_penalty"))
+
+
+@query(with_ctes("pred vec_long", f"""SELECT round(cross_entropy, 4) AS cross_entropy, round(l2_penalty, 6) AS l2_penalty,
+    round(cross_entropy + l2_penalty, 4) AS total_loss FROM ({_CE_SQL}) c CROSS JOIN ({_L2_SQL}) p"""))
+def total_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loss = metrics.cross_entropy(_probabilities(spark, sf_dir), "p", "y")
+    return metrics.total_loss(loss, _penalty(spark, sf_dir)).select(
+        r("cross_entropy", 4), r("l2_penalty"), r("total_loss", 4)
+    )
+
+
+_HARD_AUC = """CASE WHEN tp + fn = 0 THEN 0.0 WHEN tn + fp = 0 THEN 1.0
+    ELSE (tp / CAST(tp + fn AS DOUBLE) + tn / CAST(tn + fp AS DOUBLE)) / 2 END"""
+_ACCURACY = "(tp + tn) / CAST(tp + fp + tn + fn AS DOUBLE)"
+
+
+@query(with_ctes("counts", f"SELECT round({_HARD_AUC}, 6) AS auc FROM counts"))
+def auc_hard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.auc_hard(predictions(spark, sf_dir)).select(r("auc"))
+
+
+@query(with_ctes("pred", """SELECT round((sum(rk) FILTER (WHERE label = 1) - p * (p + 1) / 2) / (p * n), 6) AS auc
+    FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS rk FROM pred) r
+    CROSS JOIN (SELECT CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS p,
+                       CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE) AS n FROM pred) c GROUP BY p, n"""))
+def auc_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = metrics.auc_score(predictions(spark, sf_dir))
+    return spark.createDataFrame([(value,)], "auc DOUBLE").select(r("auc"))
+
+
+@query(with_ctes("counts", """SELECT 0 AS label, tn AS predicted_0, fp AS predicted_1 FROM counts
+    UNION ALL SELECT 1, fn, tp FROM counts"""))
+def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.confusion_matrix(predictions(spark, sf_dir))
+
+
+@query(with_ctes("counts", f"""SELECT round({_ACCURACY}, 6) AS precision, round({_ACCURACY}, 6) AS recall,
+    round({_ACCURACY}, 6) AS f1 FROM counts"""))
+def prf_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.prf_overall(predictions(spark, sf_dir)).select(r("precision"), r("recall"), r("f1"))
+
+
+@query(with_ctes("counts", """SELECT class, support, round(precision, 6) AS precision, round(recall, 6) AS recall,
+    round(f1, 6) AS f1 FROM (SELECT * FROM per_class UNION ALL
+    SELECT 'weighted', CAST(sum(support) AS BIGINT), sum(precision * support) / sum(support),
+    sum(recall * support) / sum(support), sum(f1 * support) / sum(support) FROM per_class) x""",
+    """per_class AS (SELECT '0' AS class, tn + fp AS support, tn / CAST(tn + fn AS DOUBLE) AS precision,
+        tn / CAST(tn + fp AS DOUBLE) AS recall, 2 * tn / CAST(2 * tn + fn + fp AS DOUBLE) AS f1 FROM counts
+        UNION ALL SELECT '1', tp + fn, tp / CAST(tp + fp AS DOUBLE), tp / CAST(tp + fn AS DOUBLE),
+        2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) FROM counts)"""))
+def prf_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.prf_per_class(predictions(spark, sf_dir)).select(
+        "class", "support", r("precision"), r("recall"), r("f1")
+    )
+
+
+@query(with_ctes("counts", f"""SELECT round({_HARD_AUC}, 6) AS auc, round({_ACCURACY}, 6) AS recall,
+    round({_ACCURACY}, 6) AS precision, round({_ACCURACY}, 6) AS f1, tp + fp + tn + fn AS n_rows FROM counts"""))
+def metric_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.metric_report(predictions(spark, sf_dir)).select(
+        r("auc"), r("recall"), r("precision"), r("f1"), "n_rows"
+    )

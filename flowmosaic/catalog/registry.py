@@ -12,14 +12,15 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register the function under its own name, with its SQL if it has one."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register the function under its own (or the given) name, with its SQL if it has one."""
     def register(build: Query) -> Query:
-        if build.__name__ in QUERIES:
-            raise ValueError(f"query {build.__name__} is registered twice")
-        QUERIES[build.__name__] = build
+        known_as = name or build.__name__
+        if known_as in QUERIES:
+            raise ValueError(f"query {known_as} is registered twice")
+        QUERIES[known_as] = build
         if sql is not None:
-            ORACLES[build.__name__] = sql
+            ORACLES[known_as] = sql
         return build
 
     return register

@@ -392,7 +392,7 @@ def split_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(with_ctes("vec_long", """SELECT vec_id, CAST(label AS DOUBLE) AS label, i, round(x, 6) AS value
-    FROM vec_long"""))
+    FROM vec_long"""), name="labeled_points")
 def labeled_points_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = labeled_points(vectors(spark, sf_dir), "vec_id")
     return points.select(
@@ -437,7 +437,7 @@ def softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(with_ctes("vec_long", """SELECT vec_id, i, round(x, 6) AS value FROM vec_long
-    UNION ALL SELECT vec_id, i + 64, round(greatest(x, 0.0), 6) FROM vec_long"""))
+    UNION ALL SELECT vec_id, i + 64, round(greatest(x, 0.0), 6) FROM vec_long"""), name="concat_features")
 def concat_feature_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = concat_features(F.col("features"), scoring.relu_array(F.col("features")))
     long = vectors(spark, sf_dir).select("vec_id", F.posexplode(both).alias("i", "value"))
