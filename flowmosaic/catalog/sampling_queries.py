@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowmosaic.catalog.registry import query
 from flowmosaic.catalog.sql import jitter_sql, uniform_sql, with_ctes
-from flowmosaic.catalog.tables import SEED, SPEC, event_days, event_flow, table
+from flowmosaic.catalog.tables import SEED, SPEC, event_cells, event_days, event_flow, table
 from flowmosaic.catalog.tables_queries import CELL, checksum, key, r
 from flowmosaic.functions.calendar import weekend_label
 from flowmosaic.operators import splits
@@ -27,7 +27,8 @@ _FLOW_KEY = ("date", "batch", _PAIR)
     round(outflow / 100 * {jitter_sql(uniform_sql('flow', *_FLOW_KEY, word=1), 'lim')}, 6) AS outflow
     FROM flow JOIN complete USING (date) CROSS JOIN batches"""))
 def augment_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flow = scale_flow(complete_day_rows(event_flow(spark, sf_dir), SPEC.slots))
+    observed = event_cells(spark, sf_dir)
+    flow = scale_flow(complete_day_rows(event_flow(spark, sf_dir), SPEC.slots, observed))
     return augment_cells(flow, SPEC, SEED).select(key(), "batch", *CELL, r("inflow"), r("outflow"))
 
 
@@ -43,7 +44,7 @@ def augment_others(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_ctes("days batches", """SELECT date, label, CAST(batch AS INTEGER) AS batch, lim AS "limit"
     FROM days CROSS JOIN batches"""))
 def augment_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = complete_days(event_flow(spark, sf_dir), SPEC.slots).select(
+    days = complete_days(event_cells(spark, sf_dir), SPEC.slots).select(
         "date", weekend_label(F.col("date")).alias("label")
     )
     return with_batches(days).select(key(), "label", "batch", "limit")
@@ -127,13 +128,8 @@ _AUG_RAW = f"{_GEN.format(role='train')} UNION ALL {_RAW.format(role='test')}"
 _RAW_AUG = f"{_RAW.format(role='train')} UNION ALL {_GEN.format(role='test')}"
 
 
-def _day_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Complete days with their tensors and labels."""
-    return event_days(spark, sf_dir)
-
-
 def _protocols(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    days = _day_list(spark, sf_dir)
+    days = event_days(spark, sf_dir)
     augmented = augment_days(days, SEED)
     return {
         "aug_raw": splits.protocol_aug_raw(days, augmented),

@@ -182,7 +182,7 @@ def checkpoint_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     date, slot FROM flow"""))
 def parse_slot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = calendar.encode_key(F.col("date"), F.col("slot"))
-    stored = event_flow(spark, sf_dir).select(F.encode(text, "UTF-8").alias("bytes")).distinct()
+    stored = event_cells(spark, sf_dir).select(F.encode(text, "UTF-8").alias("bytes")).distinct()
     decoded = stored.select(calendar.decode_key(F.col("bytes")).alias("slot_key"))
     return decoded.select(
         "slot_key",
@@ -192,7 +192,7 @@ def parse_slot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_flow(spark, sf_dir).select("date").distinct()
+    return event_cells(spark, sf_dir).select("date").distinct()
 
 
 _DATES_SQL = """SELECT date, isodow(strptime(date, '%Y%m%d')) >= 6 AS weekend
@@ -272,7 +272,10 @@ def others_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.complete_day_rows(event_flow(spark, sf_dir), SPEC.slots)
+    """Flow of complete days; the gate reads the raw observations, not the summed flow."""
+    return quality.complete_day_rows(
+        event_flow(spark, sf_dir), SPEC.slots, event_cells(spark, sf_dir)
+    )
 
 
 @query(with_ctes("tensor", """SELECT date, CAST(grid_row AS INTEGER) AS grid_row,
@@ -330,7 +333,7 @@ _TENSOR_SQL = with_ctes("tensor", "SELECT date, pos, round(value, 6) AS value FR
 
 
 def _tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.day_tensor(grid.scale_flow(_complete(spark, sf_dir)), SPEC, unique=True)
+    return grid.day_tensor(grid.scale_flow(event_flow(spark, sf_dir)), SPEC, unique=True)
 
 
 @query(_TENSOR_SQL)
@@ -449,7 +452,7 @@ def concat_feature_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_ctes("complete", "SELECT date FROM complete"))
 def complete_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.complete_days(event_flow(spark, sf_dir), SPEC.slots).select(key())
+    return quality.complete_days(event_cells(spark, sf_dir), SPEC.slots).select(key())
 
 
 @query(with_ctes("flow complete", """SELECT date, slot, grid_row, grid_col, round(inflow, 4) AS inflow,
@@ -461,7 +464,9 @@ def complete_day_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_ctes("flow complete", """SELECT date, count(DISTINCT slot) AS n_slots, count(*) AS n_rows
     FROM flow ANTI JOIN complete USING (date) GROUP BY date"""))
 def incomplete_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejected = quality.incomplete_day_rows(event_flow(spark, sf_dir), SPEC.slots)
+    rejected = quality.incomplete_day_rows(
+        event_flow(spark, sf_dir), SPEC.slots, event_cells(spark, sf_dir)
+    )
     per_slot = rejected.groupBy("date", "slot").agg(F.count(F.lit(1)).alias("n"))
     return per_slot.groupBy("date").agg(
         F.count(F.lit(1)).alias("n_slots"), F.sum("n").alias("n_rows")
@@ -486,7 +491,7 @@ def align_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_ctes("flow weather", """SELECT DISTINCT date, slot FROM flow ANTI JOIN weather USING (date, slot)"""))
 def unmatched_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    missed = align.unmatched_slots(event_flow(spark, sf_dir), event_weather(spark, sf_dir))
+    missed = align.unmatched_slots(event_cells(spark, sf_dir), event_weather(spark, sf_dir))
     return missed.select(key(), "slot")
 
 
@@ -513,7 +518,7 @@ def predictions_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     CAST(count(DISTINCT slot) AS INTEGER) AS n_slots,
     count(*) FILTER (WHERE slot < 1 OR slot > 48) AS bad_rows FROM flow GROUP BY date"""))
 def slot_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bitmap = quality.slot_bitmap(event_flow(spark, sf_dir), SPEC.slots)
+    bitmap = quality.slot_bitmap(event_cells(spark, sf_dir), SPEC.slots)
     return bitmap.select(key(), F.col("bits0").alias("bits"), "n_slots", "bad_rows")
 
 
@@ -537,7 +542,7 @@ def deduplicate_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     coalesce(lead(slot) OVER w, -1) AS next_slot FROM (SELECT DISTINCT date, slot FROM flow) s
     WINDOW w AS (PARTITION BY date ORDER BY slot)"""))
 def slot_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = quality.slot_sequence(event_flow(spark, sf_dir))
+    ordered = quality.slot_sequence(event_cells(spark, sf_dir))
     return ordered.select(key(), "slot", "position", "next_slot")
 
 
@@ -546,7 +551,7 @@ def slot_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM firsts LEFT JOIN weather USING (date, slot)""",
     "firsts AS (SELECT date, min(slot) AS slot FROM flow GROUP BY date)"))
 def first_slot_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = align.first_slot_attributes(event_flow(spark, sf_dir), event_weather(spark, sf_dir))
+    first = align.first_slot_attributes(event_cells(spark, sf_dir), event_weather(spark, sf_dir))
     return first.select(
         key(), "first_slot",
         F.coalesce("temperature", F.lit(-999.0)).alias("temperature"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowmosaic.functions.arrays import bind, flat_position
-from flowmosaic.operators.quality import deduplicate_cells
+from flowmosaic.operators.quality import deduplicate_cells, gate_aggregates, gate_passed
 from flowmosaic.schema import FLOW_UNIT, METEO_UNIT, GridSpec
 
 CELL_KEYS = ("date", "slot", "grid_row", "grid_col")
@@ -41,19 +41,19 @@ def fill_positions(entries: Column, size: int, width: int) -> Column:
     linear pass with built-in array functions.
     """
     def dense(items: Column) -> Column:
-        previous = F.concat(
-            F.array(F.lit(-width)), F.transform(F.slice(items, F.lit(1), F.size(items) - 1), lambda e: e["pos"])
-        )
+        starts = F.concat(F.array(F.lit(-width)), F.transform(items, lambda e: e["pos"]))
         parts = F.zip_with(
             items,
-            previous,
+            F.slice(starts, F.lit(1), F.size(items)),
             lambda item, before: F.concat(
                 F.array_repeat(F.lit(0.0), (item["pos"] - before - width).cast("int")),
                 F.array(*[item[f"v{k}"] for k in range(1, width + 1)]),
             ),
         )
-        tail = F.lit(size) - F.element_at(items, -1)["pos"] - width
-        return F.concat(F.flatten(parts), F.array_repeat(F.lit(0.0), tail.cast("int")))
+        last = F.element_at(starts, -1)
+        return F.concat(
+            F.flatten(parts), F.array_repeat(F.lit(0.0), (size - last - width).cast("int"))
+        )
 
     return bind(entries, dense)
 
@@ -66,25 +66,32 @@ def collect_dense(
     size: int,
     out: str,
     extra: Sequence[Column] = (),
+    where: Column | None = None,
 ) -> DataFrame:
     """Group long rows by ``keys`` into one zero-filled array of ``size`` values per group.
 
-    Positions must be unique within a group, which bounds a group by ``size``.
+    Positions must be unique within a group, which bounds a group by ``size``. Rows outside
+    ``where`` count for ``extra`` aggregates but not for the array.
     """
     entry = F.struct(
         position.alias("pos"), *[v.alias(f"v{k}") for k, v in enumerate(values, start=1)]
     )
+    if where is not None:
+        entry = F.when(where, entry)
     grouped = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_entries"), *extra)
     return grouped.withColumn(
         out, fill_positions(F.col("_entries"), size, len(values))
     ).drop("_entries")
 
 
-def day_tensor(flow: DataFrame, spec: GridSpec, *, unique: bool = False) -> DataFrame:
+def day_tensor(
+    flow: DataFrame, spec: GridSpec, *, unique: bool = False, complete_only: bool = True
+) -> DataFrame:
     """(date, flow): a day's slots and cells as one array, missing cells 0.
 
+    Gate and tensor come out of the same aggregation: one read of the flow, one shuffle by date.
     Copies of a cell are merged first with map-side combining unless the caller vouches that keys
-    are unique, so a group never exceeds one day's tensor. Only complete days make sense here.
+    are unique, so a group never exceeds one day's tensor.
     """
     cells = flow if unique else deduplicate_cells(flow)
     inside = (
@@ -95,14 +102,19 @@ def day_tensor(flow: DataFrame, spec: GridSpec, *, unique: bool = False) -> Data
     position = flat_position(
         F.col("grid_row"), F.col("grid_col"), (F.col("slot") - 1) * 2, spec
     )
-    return collect_dense(
-        cells.filter(inside),
+    days = collect_dense(
+        cells,
         ["date"],
         position,
         [F.col("inflow"), F.col("outflow")],
         spec.tensor_size,
         "flow",
+        gate_aggregates(spec.slots) if complete_only else (),
+        inside,
     )
+    if complete_only:
+        days = days.filter(gate_passed(spec.slots))
+    return days.select("date", "flow")
 
 
 def cell_series(flow: DataFrame, spec: GridSpec, value: str, out: str) -> DataFrame:

@@ -21,51 +21,67 @@ def _slot_bits(first: int, size: int) -> Column:
     return F.when(offset.between(0, size - 1), bit).otherwise(F.lit(0).cast("bigint"))
 
 
-def slot_bitmap(flow: DataFrame, slots: int = 48) -> DataFrame:
-    """Per date: bitmap of the slots present, how many, and rows whose slot is out of range.
+def gate_aggregates(slots: int = 48) -> list[Column]:
+    """Per-day aggregates of the gate: slot bitmap words and rows whose slot is out of range.
 
     ``bit_or`` combines on the map side, so each task ships one row per date however hot the date
     is; no distinct shuffle.
     """
-    words = _bitmap_words(slots)
-    in_range = F.col("slot").between(1, slots)
-    bitmaps = [F.bit_or(_slot_bits(first, size)).alias(f"bits{k}") for k, (first, size) in enumerate(words)]
-    present = reduce(
-        lambda a, b: a + b, [F.bit_count(F.col(f"bits{k}")) for k in range(len(words))]
-    )
+    in_range = F.coalesce(F.col("slot").between(1, slots), F.lit(False))
+    bitmaps = [
+        F.bit_or(_slot_bits(first, size)).alias(f"bits{k}")
+        for k, (first, size) in enumerate(_bitmap_words(slots))
+    ]
+    return [*bitmaps, F.sum(F.when(in_range, 0).otherwise(1)).alias("bad_rows")]
+
+
+def slots_present(slots: int = 48) -> Column:
+    """Number of distinct slots, from the bitmap words."""
+    counts = [F.bit_count(F.col(f"bits{k}")) for k in range(len(_bitmap_words(slots)))]
+    return reduce(lambda a, b: a + b, counts).cast("int")
+
+
+def gate_passed(slots: int = 48) -> Column:
+    """Every slot present and no row outside the range."""
+    return (slots_present(slots) == slots) & (F.col("bad_rows") == 0)
+
+
+def slot_bitmap(flow: DataFrame, slots: int = 48) -> DataFrame:
+    """Per date: bitmap of the slots present, how many, and rows whose slot is out of range."""
     return (
-        flow.groupBy("date")
-        .agg(
-            *bitmaps,
-            F.sum(F.when(in_range, 0).otherwise(1)).alias("bad_rows"),
-        )
-        .withColumn("n_slots", present.cast("int"))
+        flow.groupBy("date").agg(*gate_aggregates(slots)).withColumn("n_slots", slots_present(slots))
     )
 
 
 def day_quality(flow: DataFrame, slots: int = 48) -> DataFrame:
-    """(date, n_slots, bad_rows, is_complete): complete = every slot present and none outside."""
-    complete = (F.col("n_slots") == slots) & (F.col("bad_rows") == 0)
+    """(date, n_slots, bad_rows, is_complete)."""
     return slot_bitmap(flow, slots).select(
-        "date", "n_slots", "bad_rows", complete.cast("int").alias("is_complete")
+        "date", "n_slots", "bad_rows", gate_passed(slots).cast("int").alias("is_complete")
     )
 
 
 def complete_days(flow: DataFrame, slots: int = 48) -> DataFrame:
-    return day_quality(flow, slots).filter("is_complete = 1").select("date")
+    return slot_bitmap(flow, slots).filter(gate_passed(slots)).select("date")
 
 
-def complete_day_rows(flow: DataFrame, slots: int = 48) -> DataFrame:
+def complete_day_rows(
+    flow: DataFrame, slots: int = 48, observed: DataFrame | None = None
+) -> DataFrame:
     """Rows of complete days.
 
     The day list has one row per date, so the planner broadcasts it when its measured size allows
-    and shuffles otherwise; reading it touches only the date and slot columns.
+    and shuffles otherwise; reading it touches only the date and slot columns. Where ``flow`` is
+    itself computed, ``observed`` can name cheaper input with the same (date, slot) pairs.
     """
-    return flow.join(complete_days(flow, slots), "date", "left_semi")
+    days = complete_days(flow if observed is None else observed, slots)
+    return flow.join(days, "date", "left_semi")
 
 
-def incomplete_day_rows(flow: DataFrame, slots: int = 48) -> DataFrame:
-    return flow.join(complete_days(flow, slots), "date", "left_anti")
+def incomplete_day_rows(
+    flow: DataFrame, slots: int = 48, observed: DataFrame | None = None
+) -> DataFrame:
+    days = complete_days(flow if observed is None else observed, slots)
+    return flow.join(days, "date", "left_anti")
 
 
 def duplicate_cells(flow: DataFrame) -> DataFrame:

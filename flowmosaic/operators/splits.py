@@ -48,7 +48,8 @@ def _ranked_buckets(rows: DataFrame, keys: Sequence[str], seed: int, buckets: in
     The windows over the histogram have no partition key, but see at most ``buckets`` rows.
     """
     keyed = with_uniform(rows.select(*keys), keys, seed, "shuffle", "u").withColumn(
-        "_bucket", F.floor(F.col("u") * buckets).cast("int")
+        # Never null; saying so spares the joins a null filter that would hash every key again.
+        "_bucket", F.coalesce(F.floor(F.col("u") * buckets).cast("int"), F.lit(0))
     )
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(F.lit(0))

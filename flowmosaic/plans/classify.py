@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from flowmosaic.operators.forward import NetWeights, extract_features
 from flowmosaic.operators.grid import pooled_day_features, scale_flow
 from flowmosaic.operators.models import fit_classifier, neural_classifier, predict, train_model
-from flowmosaic.operators.quality import complete_day_rows
 from flowmosaic.operators.splits import split_fraction
 from flowmosaic.schema import GridSpec
 
@@ -61,8 +60,7 @@ def classify_extracted(
 
 def pooled_points(flow: DataFrame, days: DataFrame, spec: GridSpec, size: int = 4) -> DataFrame:
     """(date, label, features): pooled grid plus attributes of complete days."""
-    complete = complete_day_rows(flow, spec.slots)
-    pooled = pooled_day_features(scale_flow(complete), spec, size)
+    pooled = pooled_day_features(scale_flow(flow), spec, size)
     known = days.select("date", "others", "label").filter("others IS NOT NULL")
     return pooled.join(known, "date").select(
         "date",

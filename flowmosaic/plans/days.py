@@ -7,31 +7,47 @@ from pyspark.sql import functions as F
 
 from flowmosaic.functions.arrays import others_vector, weather_onehot
 from flowmosaic.functions.calendar import weekend_label
-from flowmosaic.operators.align import first_slot_attributes
 from flowmosaic.operators.augment import augment_days
 from flowmosaic.operators.grid import day_tensor, scale_flow, scale_weather
-from flowmosaic.operators.quality import complete_day_rows
+from flowmosaic.operators.quality import gate_aggregates, gate_passed
 from flowmosaic.schema import GridSpec
 from flowmosaic.sources.sinks import write_gen_days, write_raw_days
 
 
 def day_totals(flow: DataFrame, spec: GridSpec) -> DataFrame:
-    """(date, label, n_slots, inflow, outflow): what one complete day amounts to."""
-    return (
-        complete_day_rows(flow, spec.slots)
-        .groupBy("date")
-        .agg(
-            F.sum("inflow").alias("inflow"),
-            F.sum("outflow").alias("outflow"),
-            F.count(F.lit(1)).alias("n_cells"),
-        )
-        .withColumn("label", weekend_label(F.col("date")))
+    """(date, inflow, outflow, n_cells, label): what each complete day amounts to.
+
+    The gate's aggregates ride along with the sums, so the flow is read once.
+    """
+    totals = flow.groupBy("date").agg(
+        F.sum("inflow").alias("inflow"),
+        F.sum("outflow").alias("outflow"),
+        F.count(F.lit(1)).alias("n_cells"),
+        *gate_aggregates(spec.slots),
+    )
+    return totals.filter(gate_passed(spec.slots)).select(
+        "date", "inflow", "outflow", "n_cells", weekend_label(F.col("date")).alias("label")
     )
 
 
-def day_others(flow: DataFrame, weather: DataFrame, missing: str = "null") -> DataFrame:
-    """(date, others): scaled weather of each day's first slot as one vector, null if unknown."""
-    first = first_slot_attributes(flow, scale_weather(weather), missing)
+def day_others(weather: DataFrame, spec: GridSpec, missing: str = "null") -> DataFrame:
+    """(date, others): scaled weather of a complete day's first slot as one vector.
+
+    A complete day has every slot, so its first slot is 1 and the flow need not be read again.
+    Without a reading for slot 1 the vector is unknown (``missing="null"``) or comes from the
+    day's next slot that has one (``"next"``).
+    """
+    if missing not in ("null", "next"):
+        raise ValueError("missing must be 'null' or 'next'")
+    last = 1 if missing == "null" else spec.slots
+    values = ["temperature", "windspeed", "weather_code"]
+    first = (
+        scale_weather(weather)
+        .filter(F.col("slot").between(1, last))
+        .groupBy("date")
+        .agg(F.min_by(F.struct(*values), F.col("slot")).alias("first"))
+        .select("date", "first.*")
+    )
     onehot = weather_onehot(F.col("weather_code"))
     return first.select(
         "date", others_vector(F.col("temperature"), F.col("windspeed"), onehot).alias("others")
@@ -51,10 +67,9 @@ def raw_days(
     ``unique=True`` vouches that (date, slot, cell) identifies flow rows, as it does right after
     an aggregation, and saves the merging shuffle.
     """
-    complete = complete_day_rows(flow, spec.slots)
-    tensors = day_tensor(scale_flow(complete), spec, unique=unique)
+    tensors = day_tensor(scale_flow(flow), spec, unique=unique)
     return (
-        tensors.join(day_others(flow, weather, missing), "date", "left")
+        tensors.join(day_others(weather, spec, missing), "date", "left")
         .select("date", "flow", "others", weekend_label(F.col("date")).alias("label"))
     )
 
