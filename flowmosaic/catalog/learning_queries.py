@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmosaic.catalog.registry import query
-from flowmosaic.catalog.sql import uniform_sql, weight_sql, with_ctes
+from flowmosaic.catalog.sql import (
+    components_sql,
+    descent_sql,
+    uniform_sql,
+    weight_sql,
+    with_ctes,
+)
 from flowmosaic.catalog.tables import (
     SEED,
     SPEC,
@@ -78,19 +85,57 @@ def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.fit_scaler(points).transform(points)
 
 
-@query()
+_COMPONENTS = 3
+
+# Scaled vectors in long form and their covariance, fitted on all rows.
+_ALL_SCALED = """z AS MATERIALIZED (SELECT vec_id, i, (x - mean) / std AS z FROM vec_long JOIN stats USING (i)),
+cov AS MATERIALIZED (SELECT a.i AS i, b.i AS j, covar_samp(a.z, b.z) AS v
+        FROM z a JOIN z b ON a.vec_id = b.vec_id GROUP BY a.i, b.i)"""
+_ALL_COMPONENTS = _ALL_SCALED + ",\n" + components_sql("cov", _COMPONENTS, "pc")
+
+
+def _signed(component: Column) -> Column:
+    """A component is only defined up to its sign: make its entry of largest size positive."""
+    largest = F.array_max(F.transform(component, F.abs))
+    flip = F.array_max(component) < largest
+    return F.transform(component, lambda v: F.when(flip, -v).otherwise(v))
+
+
+def _component_table(spark: SparkSession, model: PCAModel) -> DataFrame:
+    """(component, loadings): as many rows as components."""
+    rows = [(c, [float(v) for v in model.pc.toArray()[:, c]]) for c in range(model.getK())]
+    table = spark.createDataFrame(rows, "component INT, loadings ARRAY<DOUBLE>")
+    return table.select("component", _signed(F.col("loadings")).alias("loadings"))
+
+
+@query(with_ctes("stats", """SELECT DISTINCT CAST(c AS INTEGER) AS component,
+    round(eigenvalue / (SELECT sum(v) FROM cov WHERE i = j), 6) AS variance_share FROM pc""", _ALL_COMPONENTS))
 def pca_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of variance of each component."""
-    model = features.fit_pca(_scaled(spark, sf_dir), 10)
-    rows = [(k, float(share)) for k, share in enumerate(model.explainedVariance)]
-    return spark.createDataFrame(rows, "component INT, variance_share DOUBLE")
+    model = features.fit_pca(_scaled(spark, sf_dir), _COMPONENTS)
+    rows = [(c, float(share)) for c, share in enumerate(model.explainedVariance)]
+    shares = spark.createDataFrame(rows, "component INT, variance_share DOUBLE")
+    return shares.select("component", r("variance_share"))
+
+
+@query(with_ctes("stats", """SELECT CAST(c AS INTEGER) AS component, CAST(i AS INTEGER) AS i, round(v, 5) + 0.0 AS loading
+    FROM pc""", _ALL_COMPONENTS))
+def pca_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = features.fit_pca(_scaled(spark, sf_dir), _COMPONENTS)
+    long = _component_table(spark, model).select(
+        "component", F.posexplode("loadings").alias("i", "loading")
+    )
+    return long.select("component", "i", (F.round("loading", 5) + 0.0).alias("loading"))
 
 
-@query()
+@query(with_ctes("stats", """SELECT vec_id, CAST(c AS INTEGER) AS component, round(abs(sum(z * v)), 4) AS size
+    FROM z JOIN pc USING (i) GROUP BY vec_id, c""", _ALL_COMPONENTS))
 def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every row's projection (the sign of a component is arbitrary)."""
     scaled = _scaled(spark, sf_dir)
-    projected = features.fit_pca(scaled, 10).transform(scaled)
-    return features.vector_rows(projected, "vec_id", "components")
+    projected = features.fit_pca(scaled, _COMPONENTS).transform(scaled)
+    long = features.vector_rows(projected, "vec_id", "components")
+    return long.select("vec_id", F.col("i").alias("component"), F.round(F.abs("value"), 4).alias("size"))
 
 
 @query(with_ctes("vec_long", """SELECT vec_id, round(sum(x * x), 5) AS energy
@@ -103,13 +148,45 @@ def pca_full_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotated.select("vec_id", F.round(squares, 5).alias("energy"))
 
 
-@query()
+# Vectors split 80/20 and scaled by the train part, as lists and in long form.
+_SPLIT_SCALED = f"""drawn AS (SELECT *, {_SPLIT_U} AS u FROM vec_long),
+train_stats AS (SELECT i, avg(x) AS mean, stddev_samp(x) AS std FROM drawn WHERE u < 0.8 GROUP BY i),
+split_long AS MATERIALIZED (SELECT vec_id, label, u < 0.8 AS is_train, i, (x - mean) / std AS z
+        FROM drawn JOIN train_stats USING (i)),
+split_rows AS MATERIALIZED (SELECT vec_id, CAST(label AS DOUBLE) AS y, is_train, list(z ORDER BY i) AS f
+        FROM split_long GROUP BY vec_id, label, is_train),
+train_rows AS MATERIALIZED (SELECT vec_id, y, f FROM split_rows WHERE is_train)"""
+
+_REDUCED = f"""{_SPLIT_SCALED},
+train_cov AS MATERIALIZED (SELECT a.i AS i, b.i AS j, covar_samp(a.z, b.z) AS v
+        FROM split_long a JOIN split_long b ON a.vec_id = b.vec_id WHERE a.is_train GROUP BY a.i, b.i),
+{components_sql("train_cov", _COMPONENTS, "tc")},
+short_long AS MATERIALIZED (SELECT vec_id, label, is_train, c, sum(z * v) AS p
+        FROM split_long JOIN tc USING (i) GROUP BY vec_id, label, is_train, c),
+short_rows AS MATERIALIZED (SELECT vec_id, CAST(label AS DOUBLE) AS y, is_train, list(p ORDER BY c) AS f
+        FROM short_long GROUP BY vec_id, label, is_train),
+short_train AS MATERIALIZED (SELECT vec_id, y, f FROM short_rows WHERE is_train),
+{descent_sql("train_rows", WIDTH, 0.0, "plain")},
+{descent_sql("short_train", _COMPONENTS, 0.0, "short")},
+judged AS (SELECT 0 AS pca_k, y, list_inner_product(w, f) > 0 AS hit FROM split_rows CROSS JOIN plain WHERE NOT is_train
+        UNION ALL SELECT {_COMPONENTS}, y, list_inner_product(w, f) > 0 FROM short_rows CROSS JOIN short WHERE NOT is_train),
+rates AS (SELECT pca_k, count(*) AS n_test, avg(CAST(hit = (y = 1) AS DOUBLE)) AS right_share,
+        (avg(CAST(hit AS DOUBLE)) FILTER (WHERE y = 1) + avg(CAST(NOT hit AS DOUBLE)) FILTER (WHERE y = 0)) / 2 AS auc
+        FROM judged GROUP BY pca_k)"""
+
+
+@query(with_ctes("vec_long", """SELECT pca_k, 'logistic_lbfgs' AS model, round(auc, 6) AS auc,
+    round(right_share, 6) AS recall, round(right_share, 6) AS precision, round(right_share, 6) AS f1,
+    (SELECT count(*) FROM train_rows) AS n_train, n_test FROM rates""", _REDUCED))
 def optional_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same classifier with and without components."""
     train, test = _vector_split(spark, sf_dir)
-    plain = models.train_model(train, test, 3, 100).withColumn("pca_k", F.lit(0))
-    reduced = models.train_model(train, test, 3, 100, pca_k=10).withColumn("pca_k", F.lit(10))
-    return plain.unionByName(reduced)
+    plain = models.train_model(train, test, 3, 1000).withColumn("pca_k", F.lit(0))
+    reduced = models.train_model(train, test, 3, 1000, pca_k=_COMPONENTS)
+    both = plain.unionByName(reduced.withColumn("pca_k", F.lit(_COMPONENTS)))
+    return both.select(
+        "pca_k", "model", r("auc"), r("recall"), r("precision"), r("f1"), "n_train", "n_test"
+    )
 
 
 # -- layers --------------------------------------------------------------------------------------
@@ -205,14 +282,26 @@ def _fit_predict(spark: SparkSession, sf_dir: str, kind: int, iterations: int) -
     return models.predict(model, test).select("vec_id", "label", "score", "prediction")
 
 
-@query()
+def _logistic_sql(l2: float) -> str:
+    return with_ctes("vec_long", """SELECT vec_id, y AS label, round(list_inner_product(w, f), 3) + 0.0 AS score,
+    CASE WHEN list_inner_product(w, f) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+    FROM split_rows CROSS JOIN best WHERE NOT is_train""",
+    _SPLIT_SCALED + ",\n" + descent_sql("train_rows", WIDTH, l2, "best"))
+
+
+def _logistic(spark: SparkSession, sf_dir: str, kind: int) -> DataFrame:
+    out = _fit_predict(spark, sf_dir, kind, 1000)
+    return out.withColumn("score", F.round("score", 3) + 0.0)
+
+
+@query(_logistic_sql(models.L2_REG))
 def logreg_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fit_predict(spark, sf_dir, 2, 100)
+    return _logistic(spark, sf_dir, 2)
 
 
-@query()
+@query(_logistic_sql(0.0))
 def logreg_lbfgs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fit_predict(spark, sf_dir, 3, 100)
+    return _logistic(spark, sf_dir, 3)
 
 
 @query()
@@ -253,10 +342,45 @@ def objective_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.objective_trace(models.fit_classifier(train, 2, 50), train)
 
 
-@query()
+def _layer_sql(i: str, j: str, fan_in: int) -> str:
+    return f"((({i}) * 7 + {j} * 13) % 11 - 5) / sqrt({fan_in})"
+
+
+def _conv_sql(source: str, side: int, channels: int, filters: int) -> str:
+    """5x5 convolution with zero padding, bias 0.1, ReLU, then 2x2 pooling, on (date, r, c, ch, v)."""
+    return f"""SELECT date, r // 2 AS r, c // 2 AS c, f AS ch, max(greatest(v + 0.1, 0)) AS v FROM (
+        SELECT x.date, o.r, o.c, f.f, sum(x.v * w) AS v FROM {source} x
+        JOIN (SELECT r, c, a, b FROM (SELECT unnest(range({side})) AS r) CROSS JOIN (SELECT unnest(range({side})) AS c)
+              CROSS JOIN (SELECT unnest(range(5)) AS a) CROSS JOIN (SELECT unnest(range(5)) AS b)) o
+          ON x.r = o.r + o.a - 2 AND x.c = o.c + o.b - 2
+        CROSS JOIN (SELECT unnest(range({filters})) AS f) f
+        CROSS JOIN LATERAL (SELECT {_layer_sql(f"(o.a * 5 + o.b) * {channels} + x.ch", "f.f", 25 * channels)} AS w) k
+        GROUP BY x.date, o.r, o.c, f.f) s GROUP BY date, r // 2, c // 2, f"""
+
+
+def _dense_sql(source: str, fan_in: int, units: int) -> str:
+    """Dense layer with bias 0.1 and ReLU on (date, i, v)."""
+    return f"""SELECT date, j AS i, greatest(sum(v * {_layer_sql("i", "j", fan_in)}) + 0.1, 0) AS v
+        FROM {source} CROSS JOIN (SELECT unnest(range({units})) AS j) u GROUP BY date, j"""
+
+
+_NETWORK = f"""net_in AS (SELECT date, grid_row AS r, grid_col AS c, 2 * (slot - 1) + chan AS ch, value AS v FROM tensor),
+net_1 AS MATERIALIZED ({_conv_sql("net_in", 4, 96, 16)}),
+net_2 AS MATERIALIZED ({_conv_sql("net_1", 2, 16, 32)}),
+net_flat AS (SELECT date, ch AS i, v FROM net_2),
+net_grid AS MATERIALIZED ({_dense_sql("net_flat", 32, 128)}),
+net_attr AS (SELECT date, i, value AS v FROM others),
+net_others AS MATERIALIZED ({_dense_sql("net_attr", 19, 128)}),
+net_both AS (SELECT date, i, v FROM net_grid UNION ALL SELECT date, i + 128, v FROM net_others),
+net_out AS ({_dense_sql("net_both", 256, 64)})"""
+
+
+@query(with_ctes("tensor others", """SELECT date, label, CAST(i AS INTEGER) AS i, round(v, 4) AS value
+    FROM net_out JOIN days USING (date)""", _NETWORK))
 def extract_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = extract_features_op(event_days(spark, sf_dir), SPEC, net_weights())
-    return out.select(key(), "label", F.posexplode("features").alias("i", "value"))
+    long = out.select("date", "label", F.posexplode("features").alias("i", "value"))
+    return long.select(key(), "label", "i", r("value", 4))
 
 
 @query()

@@ -35,9 +35,9 @@ def estimator(kind: int, iterations: int, features: str = "scaled", seed: int =
         )
     plain = {"maxIter": iterations, "fitIntercept": False, "standardization": False}
     if kind == 2:
-        return LogisticRegression(regParam=L2_REG, elasticNetParam=0.0, tol=1e-6, **plain, **common)
+        return LogisticRegression(regParam=L2_REG, elasticNetParam=0.0, tol=1e-9, **plain, **common)
     if kind == 3:
-        return LogisticRegression(regParam=0.0, tol=1e-6, **plain, **common)
+        return LogisticRegression(regParam=0.0, tol=1e-9, **plain, **common)
     if kind == 4:
         return LinearSVC(regParam=L2_REG, tol=1e-6, threshold=0.0, **plain, **common)
     return RandomForestClassifier(
