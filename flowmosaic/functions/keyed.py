@@ -16,6 +16,11 @@ def keyed_digest(seed: int, purpose: str, *key: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(purpose), *[k.cast("string") for k in key]))
 
 
+def keyed_prefix(seed: int, purpose: str, *key: Column) -> Column:
+    """The hashed text up to and including the separator before the last key part."""
+    return F.concat_ws("|", F.lit(str(seed)), F.lit(purpose), *[k.cast("string") for k in key], F.lit(""))
+
+
 def digest_uniform(digest: Column, word: int | Column = 0) -> Column:
     """One of the digest's four words as a double in [0, 1)."""
     start = (word if isinstance(word, Column) else F.lit(word)) * 8 + 1

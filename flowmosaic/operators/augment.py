@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from flowmosaic.functions.arrays import bind, flat_position
 from flowmosaic.functions.calendar import date_text
-from flowmosaic.functions.keyed import digest_uniform, jitter_factor, keyed_digest, keyed_uniform
+from flowmosaic.functions.keyed import (
+    digest_uniform,
+    jitter_factor,
+    keyed_digest,
+    keyed_prefix,
+    keyed_uniform,
+)
 from flowmosaic.schema import AUGMENT_SCHEDULE, GridSpec
 
 Schedule = Sequence[tuple[int, float]]
@@ -60,18 +66,24 @@ def jitter_others(others: Column, date: Column, batch: Column, limit: Column, se
 
 
 def jitter_tensor(flow: Column, date: Column, batch: Column, limit: Column, seed: int) -> Column:
-    """Jitter a day tensor in place: position 2p and 2p+1 share digest p."""
-    def pair(p: Column) -> Column:
-        return bind(
-            keyed_digest(seed, "flow", date, batch, p),
-            lambda digest: F.array(
-                F.get(flow, 2 * p) * jitter_factor(digest_uniform(digest, 0), limit),
-                F.get(flow, 2 * p + 1) * jitter_factor(digest_uniform(digest, 1), limit),
-            ),
-        )
+    """Jitter a day tensor in place: position 2p and 2p+1 share digest p.
 
-    pairs = F.sequence(F.lit(0), (F.size(flow) / 2).cast("int") - 1)
-    return F.flatten(F.transform(pairs, pair))
+    The part of the key that all positions share is built once per day.
+    """
+    def jitter_pairs(shared: Column) -> Column:
+        def pair(p: Column) -> Column:
+            return bind(
+                F.md5(F.concat(shared, p.cast("string"))),
+                lambda digest: F.array(
+                    F.get(flow, 2 * p) * jitter_factor(digest_uniform(digest, 0), limit),
+                    F.get(flow, 2 * p + 1) * jitter_factor(digest_uniform(digest, 1), limit),
+                ),
+            )
+
+        pairs = F.sequence(F.lit(0), (F.size(flow) / 2).cast("int") - 1)
+        return F.flatten(F.transform(pairs, pair))
+
+    return bind(keyed_prefix(seed, "flow", date, batch), jitter_pairs)
 
 
 def augment_days(

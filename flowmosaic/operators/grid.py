@@ -38,22 +38,26 @@ def fill_positions(entries: Column, size: int, width: int) -> Column:
     """Sorted array of (pos, v1..v_width) structs -> dense array of ``size`` values.
 
     Each struct covers positions pos .. pos+width-1; the gaps between structs become zeros. One
-    linear pass with built-in array functions.
+    linear pass with built-in array functions, and a shorter one where there are no gaps.
     """
+    def own(item: Column) -> Column:
+        return F.array(*[item[f"v{k}"] for k in range(1, width + 1)])
+
     def dense(items: Column) -> Column:
         starts = F.concat(F.array(F.lit(-width)), F.transform(items, lambda e: e["pos"]))
         parts = F.zip_with(
             items,
             F.slice(starts, F.lit(1), F.size(items)),
             lambda item, before: F.concat(
-                F.array_repeat(F.lit(0.0), (item["pos"] - before - width).cast("int")),
-                F.array(*[item[f"v{k}"] for k in range(1, width + 1)]),
+                F.array_repeat(F.lit(0.0), (item["pos"] - before - width).cast("int")), own(item)
             ),
         )
         last = F.element_at(starts, -1)
-        return F.concat(
+        with_gaps = F.concat(
             F.flatten(parts), F.array_repeat(F.lit(0.0), (size - last - width).cast("int"))
         )
+        no_gaps = F.size(items) * width == size
+        return F.when(no_gaps, F.flatten(F.transform(items, own))).otherwise(with_gaps)
 
     return bind(entries, dense)
 
@@ -78,7 +82,7 @@ def collect_dense(
     )
     if where is not None:
         entry = F.when(where, entry)
-    grouped = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_entries"), *extra)
+    grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_entries"), *extra)
     return grouped.withColumn(
         out, fill_positions(F.col("_entries"), size, len(values))
     ).drop("_entries")

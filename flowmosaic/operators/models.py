@@ -39,7 +39,7 @@ def estimator(kind: int, iterations: int, features: str = "scaled", seed: int =
     if kind == 3:
         return LogisticRegression(regParam=0.0, tol=1e-9, **plain, **common)
     if kind == 4:
-        return LinearSVC(regParam=L2_REG, tol=1e-6, threshold=0.0, **plain, **common)
+        return LinearSVC(regParam=L2_REG, tol=1e-4, threshold=0.0, **plain, **common)
     return RandomForestClassifier(
         numTrees=iterations, maxDepth=5, maxBins=32, impurity="gini",
         featureSubsetStrategy="auto", seed=seed, **common,

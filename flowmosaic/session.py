@@ -43,10 +43,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     Only a local master may fall back to a machine-local folder: on a cluster the executors would
     each write to their own disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="flowmosaic-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="flowmosaic-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
