@@ -7,17 +7,26 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MANIFEST_SCHEMA = "model STRING, step BIGINT, path STRING"
+SALTS = 256
 
 
 def retained(manifest: DataFrame, keep: int = 5) -> DataFrame:
     """Newest ``keep`` steps of each model, with the latest one flagged.
 
-    A model and step saved twice counts once. The rank filter is pushed below the shuffle
-    (window group limit), so a model with most of the rows ships only ``keep`` per task.
+    A model and step saved twice counts once. First every input partition drops what cannot be
+    among the newest (a rank limit Spark applies before the shuffle); the partition number serves
+    as salt, so that neither a hot model nor a hot step meets in one task. It only thins out the
+    candidates: the result does not depend on it.
     """
+    by_part = Window.partitionBy("model", "_part").orderBy(F.col("step").desc())
     newest_first = Window.partitionBy("model").orderBy(F.col("step").desc())
+    candidates = (
+        manifest.withColumn("_part", F.spark_partition_id() % SALTS)
+        .withColumn("_rank", F.dense_rank().over(by_part))
+        .filter(F.col("_rank") <= keep)
+    )
     return (
-        manifest.groupBy("model", "step")
+        candidates.groupBy("model", "step")
         .agg(F.max("path").alias("path"))
         .withColumn("newest", F.row_number().over(newest_first))
         .filter(F.col("newest") <= keep)

@@ -113,6 +113,14 @@ def test_retention_of_a_hot_model(spark):
     assert "WindowGroupLimit" in kept._jdf.queryExecution().executedPlan().toString()
 
 
+def test_retention_of_a_hot_step(spark):
+    """One step saved 50,000 times is still one step."""
+    rows = spark.range(50_000).select(F.lit("m").alias("model"), F.lit(9).cast("bigint").alias("step"), F.lit("p9").alias("path"))
+    rest = spark.range(9).select(F.lit("m").alias("model"), F.col("id").alias("step"), F.concat(F.lit("p"), F.col("id")).alias("path"))
+    kept = registry.retained(rows.unionByName(rest)).collect()
+    assert sorted((r["step"], r["path"]) for r in kept) == [(s, f"p{s}") for s in (5, 6, 7, 8, 9)]
+
+
 def test_save_choose_restore(spark, data, tmp_path):
     frame, _, _ = data
     store = registry.ModelRegistry(spark, str(tmp_path), "lr", keep=2)
