@@ -31,11 +31,12 @@ from flowmosaic.catalog.tables import (
 )
 from flowmosaic.catalog.tables_queries import CELL, key, r
 from flowmosaic.functions import scoring
+from flowmosaic.functions.arrays import net_tensor, pool_tensor
 from flowmosaic.operators import features, grid, metrics, models
 from flowmosaic.operators.forward import extract_features as extract_features_op
-from flowmosaic.operators.splits import split_fraction
+from flowmosaic.operators.augment import augment_days
+from flowmosaic.operators.splits import protocol_aug_raw, protocol_split_augment, split_fraction
 from flowmosaic.plans import classify
-from flowmosaic.schema import N_OTHERS
 from flowmosaic.session import shared_dir
 from flowmosaic.sources.registry import ModelRegistry
 
@@ -257,6 +258,35 @@ def pool_net_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pooled.select(key(), *CELL, (F.round("net", 4) + 0.0).alias("net"))
 
 
+@query(with_ctes("tensor", """SELECT date, CAST(((grid_row // 2) * 2 + grid_col // 2) * 96 + 2 * (slot - 1) + chan AS INTEGER) AS pos,
+    round(max(value), 6) AS value FROM tensor GROUP BY date, grid_row // 2, grid_col // 2, slot, chan"""))
+def pool_day_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pooled = pool_tensor(F.col("flow"), SPEC, 2)
+    days = grid.day_tensor(grid.scale_flow(event_flow(spark, sf_dir)), SPEC, unique=True)
+    long = days.select("date", F.posexplode(pooled).alias("pos", "value"))
+    return long.select(key(), "pos", r("value"))
+
+
+@query(with_ctes("tensor", """SELECT date, CAST(pos // 2 AS INTEGER) AS pos,
+    round(sum(CASE WHEN chan = 0 THEN value ELSE -value END), 6) + 0.0 AS value FROM tensor GROUP BY date, pos // 2"""))
+def net_day_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grid features of the net-flow ablation."""
+    days = grid.day_tensor(grid.scale_flow(event_flow(spark, sf_dir)), SPEC, unique=True)
+    long = days.select("date", F.posexplode(net_tensor(F.col("flow"))).alias("pos", "value"))
+    return long.select(key(), "pos", (F.round("value", 6) + 0.0).alias("value"))
+
+
+@query()
+def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In- and outflow against net flow alone, same split, same classifier."""
+    examples = protocol_split_augment(event_days(spark, sf_dir), 0.8, SEED)
+    both = classify.classify_examples(examples, 2, 30)
+    net = classify.classify_examples(examples, 2, 30, points=classify.net_points)
+    return both.withColumn("channels", F.lit("in+out")).unionByName(
+        net.withColumn("channels", F.lit("net"))
+    )
+
+
 # -- classifiers ---------------------------------------------------------------------------------
 
 
@@ -323,11 +353,19 @@ def model_bakeoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def mlp_day_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flow = event_flow(spark, sf_dir)
-    points = classify.pooled_points(flow, event_days(spark, sf_dir), SPEC, 2)
-    width = SPEC.channels * (SPEC.rows // 2) * (SPEC.cols // 2) + N_OTHERS
-    _, out = classify.neural_day_classifier(points, width, 30, seed=SEED)
-    return out.select(key(), "label", "score", "prediction")
+    """Default protocol: trained on augmented train days, tested on other raw days."""
+    examples = protocol_split_augment(event_days(spark, sf_dir), 0.8, SEED)
+    _, out = classify.neural_day_classifier(examples, SPEC, 2, 30, seed=SEED)
+    return out.select(key("source_date"), "label", "score", "prediction")
+
+
+@query()
+def mlp_aug_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaking protocol, as a control: every test day has augmented copies among the train days."""
+    days = event_days(spark, sf_dir)
+    examples = protocol_aug_raw(days, augment_days(days, SEED))
+    _, out = classify.neural_day_classifier(examples, SPEC, 2, 30, seed=SEED)
+    return out.select(key("source_date"), "label", "score", "prediction")
 
 
 @query()

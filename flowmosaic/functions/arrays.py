@@ -86,6 +86,32 @@ def flatten_tensor(nested: Column) -> Column:
     return F.flatten(F.flatten(nested))
 
 
+def net_tensor(flat: Column) -> Column:
+    """Day tensor with in- and outflow channels -> one net channel (in - out) per slot."""
+    pairs = F.sequence(F.lit(0), (F.size(flat) / 2).cast("int") - 1)
+    return F.transform(pairs, lambda p: F.get(flat, 2 * p) - F.get(flat, 2 * p + 1))
+
+
+def pool_tensor(flat: Column, spec: GridSpec, size: int) -> Column:
+    """Max over size x size cells of every channel; blocks at the rim may be smaller.
+
+    Works on the array, so any day set (raw or augmented) is pooled without a shuffle.
+    """
+    rows, cols = -(-spec.rows // size), -(-spec.cols // size)
+
+    def pooled(position: Column) -> Column:
+        row, col, channel = unflatten(position, cols, spec.channels)
+        members = []
+        for down in range(size):
+            for right in range(size):
+                r, c = row * size + down, col * size + right
+                inside = (r < spec.rows) & (c < spec.cols)
+                members.append(F.when(inside, F.get(flat, flat_position(r, c, channel, spec))))
+        return F.array_max(F.array(*members))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(rows * cols * spec.channels - 1)), pooled)
+
+
 def assemble_record(flow: Column, others: Column, label: Column) -> Column:
     """flow ++ others ++ [label]."""
     return F.concat(flow, others, F.array(label.cast("double")))

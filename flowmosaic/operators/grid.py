@@ -212,10 +212,3 @@ def grid_pool(flow: DataFrame, size: int, values: Sequence[str]) -> DataFrame:
         F.floor(F.col("grid_row") / size).cast("int").alias("grid_row"),
         F.floor(F.col("grid_col") / size).cast("int").alias("grid_col"),
     ).agg(*[F.max(v).alias(v) for v in values])
-
-
-def pooled_day_features(flow: DataFrame, spec: GridSpec, size: int) -> DataFrame:
-    """(date, pooled): each day's pooled cells as one array, missing blocks 0."""
-    pooled = grid_pool(flow, size, ["inflow", "outflow"])
-    small = GridSpec(-(-spec.rows // size), -(-spec.cols // size), spec.slot_minutes)
-    return day_tensor(pooled, small, unique=True).withColumnRenamed("flow", "pooled")

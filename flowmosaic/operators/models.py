@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -18,11 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowmosaic.functions.scoring import threshold
-from flowmosaic.operators.metrics import auc_score, confusion_counts, metric_report
+from flowmosaic.operators.metrics import confusion_counts, metric_report
 
 # Classifier kinds by their number; anything above 4 is a forest.
 KINDS = {1: "linear", 2: "logistic_l2", 3: "logistic_lbfgs", 4: "svm", 5: "forest"}
 
+PARTITION_BYTES = 16 * 1024 * 1024  # train data per task of an optimiser step
+
 L2_REG = 0.01  # regularisation of the logistic (2) and SVM (4) kinds
 
 
@@ -58,21 +61,41 @@ def classifier_stages(
     return [*stages, estimator(kind, iterations, inputs, seed)]
 
 
-def fit_classifier(
-    train: DataFrame, kind: int, iterations: int, pca_k: int | None = None, seed: int = 0
-) -> PipelineModel:
-    """Fit on (label, features).
+def sized_for_iterations(frame: DataFrame) -> DataFrame:
+    """A persisted train frame in as few partitions as its measured size needs.
+
+    Every optimiser step is a job over all partitions; tiny ones only add scheduling time. Large
+    frames keep their partitions (coalescing to more than there are changes nothing).
+    """
+    sample = frame.select("features").first()
+    if sample is None:
+        return frame
+    size = frame.count() * sample["features"].size * 8
+    return frame.coalesce(max(1, -(-size // PARTITION_BYTES)))
+
 
-    The train columns are persisted with disk spill for the passes of scaler, PCA and optimiser,
-    then released.
+def fit_cached(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit with the train columns persisted (memory, then disk) for the passes of all stages.
+
+    What the caller has persisted already is used as it is and left to the caller.
     """
+    level = train.storageLevel
+    if level.useMemory or level.useDisk:
+        return pipeline.fit(sized_for_iterations(train))
     frame = train.select("label", "features").persist()
     try:
-        return Pipeline(stages=classifier_stages(kind, iterations, pca_k, seed)).fit(frame)
+        return pipeline.fit(sized_for_iterations(frame))
     finally:
         frame.unpersist()
 
 
+def fit_classifier(
+    train: DataFrame, kind: int, iterations: int, pca_k: int | None = None, seed: int = 0
+) -> PipelineModel:
+    """Fit on (label, features)."""
+    return fit_cached(Pipeline(stages=classifier_stages(kind, iterations, pca_k, seed)), train)
+
+
 def predict(model: PipelineModel, points: DataFrame, cut: float = 0.0) -> DataFrame:
     """(…, score, prediction): the score ranks, the prediction is 0.0 or 1.0.
 
@@ -113,14 +136,15 @@ def train_model(
 def model_bakeoff(
     train: DataFrame, test: DataFrame, runs: Iterable[tuple[int, int]], pca_k: int | None = None
 ) -> DataFrame:
-    """One metric row per (kind, iterations)."""
-    report = None
-    for kind, iterations in runs:
-        row = train_model(train, test, kind, iterations, pca_k)
-        report = row if report is None else report.unionByName(row)
-    if report is None:
+    """One metric row per (kind, iterations); the train rows are persisted once for all fits."""
+    frame = train.select("label", "features").persist()
+    try:
+        rows = [train_model(frame, test, kind, iterations, pca_k) for kind, iterations in runs]
+    finally:
+        frame.unpersist()
+    if not rows:
         raise ValueError("no runs given")
-    return report
+    return reduce(DataFrame.unionByName, rows)
 
 
 def neural_classifier(width: int, max_iter: int = 100, seed: int = 0) -> Pipeline:
@@ -136,26 +160,35 @@ def neural_classifier(width: int, max_iter: int = 100, seed: int = 0) -> Pipelin
     )
 
 
-def objective_trace(model: PipelineModel, like: DataFrame) -> DataFrame:
-    """(step, loss) of the last stage's optimiser: one row per iteration."""
+def objective_history(model: PipelineModel) -> list[float]:
+    """Loss of the last stage's optimiser, one value per iteration."""
     last = model.stages[-1]
     summary = last.summary() if callable(last.summary) else last.summary
-    rows = [(step, float(loss)) for step, loss in enumerate(summary.objectiveHistory)]
+    return [float(loss) for loss in summary.objectiveHistory]
+
+
+def objective_trace(model: PipelineModel, like: DataFrame) -> DataFrame:
+    """(step, loss) of the last stage's optimiser: one row per iteration."""
+    rows = list(enumerate(objective_history(model)))
     return like.sparkSession.createDataFrame(rows, "step INT, loss DOUBLE")
 
 
 def accuracy_trace(
     train: DataFrame, test: DataFrame, kind: int, checkpoints: Iterable[int], seed: int = 0
 ) -> DataFrame:
-    """(step, train_accuracy, test_accuracy, test_auc) after each number of iterations."""
+    """(step, train_accuracy, test_accuracy, train_loss) after each number of iterations."""
     rows = []
-    for step in checkpoints:
-        model = fit_classifier(train, kind, step, seed=seed)
-        shares = []
-        for part in (train, test):
-            c = confusion_counts(predict(model, part)).first()
-            shares.append((c["tp"] + c["tn"]) / max(1, sum(c)))
-        rows.append((step, *shares, float(auc_score(predict(model, test)))))
+    frame = train.select("label", "features").persist()
+    try:
+        for step in checkpoints:
+            model = fit_classifier(frame, kind, step, seed=seed)
+            shares = []
+            for part in (frame, test):
+                c = confusion_counts(predict(model, part)).first()
+                shares.append((c["tp"] + c["tn"]) / max(1, sum(c)))
+            rows.append((step, *shares, objective_history(model)[-1]))
+    finally:
+        frame.unpersist()
     return train.sparkSession.createDataFrame(
-        rows, "step INT, train_accuracy DOUBLE, test_accuracy DOUBLE, test_auc DOUBLE"
+        rows, "step INT, train_accuracy DOUBLE, test_accuracy DOUBLE, train_loss DOUBLE"
     )

@@ -122,3 +122,21 @@ def test_cell_series(flow_rows):
     rows = [("20240101", 4, 0, 0, 4.0, 0.0), ("20240101", 2, 0, 0, 2.0, 0.0)]
     got = grid.cell_series(flow_rows(rows), spec, "inflow", "series").first()["series"]
     assert got == [0.0, 2.0, 0.0, 4.0]
+
+
+@pytest.mark.parametrize("size", [2, 4])
+def test_array_pooling_and_net_of_a_day(cube, size):
+    from flowmosaic.functions.arrays import net_tensor, pool_tensor
+
+    flow, values = cube
+    days = grid.day_tensor(flow, SPEC)
+    rows = days.select("date", pool_tensor(F.col("flow"), SPEC, size).alias("p"), net_tensor(F.col("flow")).alias("n")).collect()
+    for row in rows:
+        day = values[row["date"].day - 1]  # slot, channel, row, col
+        want = [
+            day[s, ch, r * size : (r + 1) * size, c * size : (c + 1) * size].max()
+            for r in range(-(-SPEC.rows // size)) for c in range(-(-SPEC.cols // size))
+            for s in range(SPEC.slots) for ch in (0, 1)
+        ]
+        assert np.allclose(row["p"], want)
+        assert np.allclose(row["n"], (day[:, 0] - day[:, 1]).transpose(1, 2, 0).reshape(-1))

@@ -203,15 +203,26 @@ def test_day_totals(city):
 
 
 def test_weekends_are_found_end_to_end(spark, city):
-    from flowmosaic.operators.splits import protocol_split_augment
+    from flowmosaic.operators.augment import augment_days
+    from flowmosaic.operators.splits import (
+        protocol_aug_raw,
+        protocol_raw_split,
+        protocol_split_augment,
+        raw_examples,
+    )
 
     flow, weather = city
     days = day_plans.raw_days(flow, weather, CITY).cache()
     report = classify.classify_examples(protocol_split_augment(days, seed=2), kind=2, iterations=50).first()
     assert report["auc"] == 1.0 and report["f1"] == 1.0
-    points = classify.pooled_points(flow, days, CITY, 2)
+    net = classify.classify_examples(
+        protocol_split_augment(days, seed=2), kind=2, iterations=50, points=classify.net_points
+    ).first()
+    assert net["auc"] == 1.0 and net["n_test"] == report["n_test"]
+    points = classify.pooled_points(raw_examples(days), CITY, 3)
     width = len(points.select(vector_to_array("features").alias("v")).first()["v"])
-    assert width == CITY.channels * 4 + 19
-    _, out = classify.neural_day_classifier(points, width, 20, seed=2)
-    assert out.filter("prediction != label").count() == 0
+    assert width == classify.pooled_width(CITY, 3) == CITY.channels * 4 + 19
+    for examples in (protocol_split_augment(days, seed=2), protocol_aug_raw(days, augment_days(days)), protocol_raw_split(days)):
+        _, out = classify.neural_day_classifier(examples, CITY, 2, 20, seed=2)
+        assert out.count() > 0 and out.filter("prediction != label").count() == 0
     days.unpersist()
