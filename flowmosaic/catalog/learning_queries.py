@@ -40,6 +40,10 @@ from flowmosaic.plans import classify
 from flowmosaic.session import shared_dir
 from flowmosaic.sources.registry import ModelRegistry
 
+_HARD_AUC = """CASE WHEN tp + fn = 0 THEN 0.0 WHEN tn + fp = 0 THEN 1.0
+    ELSE (tp / CAST(tp + fn AS DOUBLE) + tn / CAST(tn + fp AS DOUBLE)) / 2 END"""
+_ACCURACY = "(tp + tn) / CAST(tp + fp + tn + fn AS DOUBLE)"
+
 # -- scaling and components ----------------------------------------------------------------------
 
 
@@ -344,6 +348,28 @@ def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fit_predict(spark, sf_dir, 5, 20)
 
 
+_CONVEX = f"""{_SPLIT_SCALED},
+{descent_sql("train_rows", WIDTH, 0.0, "linear", rate=0.7, logistic=False)},
+{descent_sql("train_rows", WIDTH, models.L2_REG, "ridge")},
+{descent_sql("train_rows", WIDTH, 0.0, "plain")},
+judged AS (SELECT model, y = 1 AS truth, list_inner_product(w, f) > 0 AS hit FROM split_rows CROSS JOIN (
+        SELECT 'linear' AS model, w FROM linear UNION ALL SELECT 'logistic_l2', w FROM ridge
+        UNION ALL SELECT 'logistic_lbfgs', w FROM plain) fits WHERE NOT is_train),
+counts AS (SELECT model, count(*) FILTER (WHERE hit AND truth) AS tp, count(*) FILTER (WHERE hit AND NOT truth) AS fp,
+        count(*) FILTER (WHERE NOT hit AND NOT truth) AS tn, count(*) FILTER (WHERE NOT hit AND truth) AS fn
+        FROM judged GROUP BY model)"""
+
+
+@query(with_ctes("vec_long", f"""SELECT model, round({_HARD_AUC}, 6) AS auc, round({_ACCURACY}, 6) AS recall,
+    round({_ACCURACY}, 6) AS precision, round({_ACCURACY}, 6) AS f1, (SELECT count(*) FROM train_rows) AS n_train,
+    tp + fp + tn + fn AS n_test FROM counts""", _CONVEX))
+def bakeoff_convex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three kinds whose optimum is unique and smooth."""
+    train, test = _vector_split(spark, sf_dir)
+    report = models.model_bakeoff(train, test, [(1, 1000), (2, 1000), (3, 1000)])
+    return report.select("model", r("auc"), r("recall"), r("precision"), r("f1"), "n_train", "n_test")
+
+
 @query()
 def model_bakeoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _vector_split(spark, sf_dir)
@@ -421,11 +447,29 @@ def extract_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.select(key(), "label", "i", r("value", 4))
 
 
-@query()
+_EXTRACTED_FIT = f"""{_NETWORK},
+net_drawn AS MATERIALIZED (SELECT date, i, v, CAST(label AS DOUBLE) AS y,
+        {uniform_sql('split', "strftime(strptime(date, '%Y%m%d'), '%Y-%m-%d')")} < 0.8 AS is_train
+        FROM net_out JOIN days USING (date)),
+net_stats AS (SELECT i, avg(v) AS mean, stddev_samp(v) AS std FROM net_drawn WHERE is_train GROUP BY i),
+net_rows AS MATERIALIZED (SELECT date, y, is_train,
+        list(CASE WHEN std > 0 THEN (v - mean) / std ELSE 0 END ORDER BY i) AS f
+        FROM net_drawn JOIN net_stats USING (i) GROUP BY date, y, is_train),
+net_train AS MATERIALIZED (SELECT date, y, f FROM net_rows WHERE is_train),
+{descent_sql("net_train", 64, models.L2_REG, "net_fit", 800, 0.0624, 0.95)},
+counts AS (SELECT count(*) FILTER (WHERE hit AND y = 1) AS tp, count(*) FILTER (WHERE hit AND y = 0) AS fp,
+        count(*) FILTER (WHERE NOT hit AND y = 0) AS tn, count(*) FILTER (WHERE NOT hit AND y = 1) AS fn
+        FROM (SELECT y, list_inner_product(w, f) > 0 AS hit FROM net_rows CROSS JOIN net_fit WHERE NOT is_train) h)"""
+
+
+@query(with_ctes("tensor others", f"""SELECT 'logistic_l2' AS model, round({_HARD_AUC}, 6) AS auc, round({_ACCURACY}, 6) AS recall,
+    round({_ACCURACY}, 6) AS precision, round({_ACCURACY}, 6) AS f1, (SELECT count(*) FROM net_train) AS n_train,
+    tp + fp + tn + fn AS n_test FROM counts""", _EXTRACTED_FIT))
 def features_then_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.classify_extracted(
-        event_days(spark, sf_dir), SPEC, net_weights(), kind=2, iterations=100, seed=SEED
+    report = classify.classify_extracted(
+        event_days(spark, sf_dir), SPEC, net_weights(), kind=2, iterations=1000, seed=SEED
     )
+    return report.select("model", r("auc"), r("recall"), r("precision"), r("f1"), "n_train", "n_test")
 
 
 @query("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed FROM embeddings")
@@ -500,11 +544,6 @@ def total_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_HARD_AUC = """CASE WHEN tp + fn = 0 THEN 0.0 WHEN tn + fp = 0 THEN 1.0
-    ELSE (tp / CAST(tp + fn AS DOUBLE) + tn / CAST(tn + fp AS DOUBLE)) / 2 END"""
-_ACCURACY = "(tp + tn) / CAST(tp + fp + tn + fn AS DOUBLE)"
-
-
 @query(with_ctes("counts", f"SELECT round({_HARD_AUC}, 6) AS auc FROM counts"))
 def auc_hard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.auc_hard(predictions(spark, sf_dir)).select(r("auc"))
