@@ -175,7 +175,8 @@ _PROTOCOL_SQL = " UNION ALL ".join(
     count(*) FILTER (WHERE role = 'test') AS n_test,
     count(*) FILTER (WHERE role = 'test' AND (protocol, source_date) IN
         (SELECT protocol, source_date FROM examples WHERE role = 'train')) AS n_leaked
-    FROM examples GROUP BY protocol""", f"examples AS ({_PROTOCOL_SQL})"))
+    FROM (VALUES ('aug_raw'), ('raw_aug'), ('raw_split'), ('split_augment')) names(protocol)
+    LEFT JOIN examples USING (protocol) GROUP BY protocol""", f"examples AS ({_PROTOCOL_SQL})"))
 def leakage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     audits = [
         splits.leakage_audit(examples).withColumn("protocol", F.lit(name))

@@ -69,7 +69,7 @@ def sized_for_iterations(frame: DataFrame) -> DataFrame:
     """
     sample = frame.select("features").first()
     if sample is None:
-        return frame
+        raise ValueError("there are no rows to train on")
     size = frame.count() * sample["features"].size * 8
     return frame.coalesce(max(1, -(-size // PARTITION_BYTES)))
 

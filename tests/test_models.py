@@ -40,6 +40,12 @@ def test_bakeoff_and_pca(data):
         models.model_bakeoff(frame, frame, [])
 
 
+def test_training_on_nothing_is_refused(data):
+    frame, _, _ = data
+    with pytest.raises(ValueError, match="no rows"):
+        models.fit_classifier(frame.filter("false"), 2, 5)
+
+
 def scaled(x):
     return (x - x.mean(0)) / x.std(0, ddof=1)
 
