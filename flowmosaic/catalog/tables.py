@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmosaic.operators.forward import NetWeights
 from flowmosaic.plans.days import raw_days
-from flowmosaic.schema import GridSpec, N_OTHERS
-
-import numpy as np
+from flowmosaic.schema import N_OTHERS, GridSpec
 
 SPEC = GridSpec(4, 4, 30)
 SEED = 7
@@ -23,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slot_of(spec: GridSpec):
+def slot_of(spec: GridSpec) -> Column:
     minute = F.hour("ts") * 60 + F.minute("ts")
     return (F.floor(minute / spec.slot_minutes) + 1).cast("int")
 

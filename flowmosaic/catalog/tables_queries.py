@@ -76,7 +76,7 @@ _RAW_SQL = with_ctes(
     "tensor others",
     """SELECT f.*, temperature, windspeed, weather_code
     FROM flow_sums f LEFT JOIN first_others USING (date)""",
-    """flow_sums AS (SELECT date, label, count(*) AS n_values, round(sum(value), 4) AS value_sum,
+    """flow_sums AS (SELECT date, label, CAST(count(*) AS INTEGER) AS n_values, round(sum(value), 4) AS value_sum,
         round(sum(value * (pos + 1)), 4) AS weighted_sum FROM tensor GROUP BY date, label),
     first_others AS (SELECT date, round(max(value) FILTER (WHERE i = 0), 6) AS temperature,
         round(max(value) FILTER (WHERE i = 1), 6) AS windspeed,
@@ -380,7 +380,7 @@ def assemble_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.select(key(), "pos", r("value"))
 
 
-@query(with_ctes("tensor others", """SELECT date, count(*) FILTER (WHERE pos < 1555) AS n_values,
+@query(with_ctes("tensor others", """SELECT date, CAST(count(*) FILTER (WHERE pos < 1555) AS INTEGER) AS n_values,
     round(sum(value) FILTER (WHERE pos < 1555), 4) AS value_sum,
     round(sum(value * (pos + 1)) FILTER (WHERE pos < 1555), 4) AS weighted_sum,
     max(value) FILTER (WHERE pos = 1555) AS label FROM record GROUP BY date""",
