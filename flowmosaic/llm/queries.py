@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowmosaic.llm.common import table
 from flowmosaic.llm.quality import quality_rules
+from flowmosaic.llm.simhash import near_duplicates
 from flowmosaic.llm.sharding import shard_digest
 
 QUERIES: dict = {}
@@ -27,3 +28,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS)
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
