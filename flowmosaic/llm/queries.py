@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowmosaic.llm.common import table
+from flowmosaic.llm.common import fold, table
+from flowmosaic.llm.langid import fit_language_model, identify
 from flowmosaic.llm.quality import quality_rules
-from flowmosaic.llm.simhash import near_duplicates
 from flowmosaic.llm.sharding import shard_digest
+from flowmosaic.llm.simhash import near_duplicates
+from flowmosaic.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +36,22 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    learned = fold(F.col("doc_id"), 5) != 0
+    weights = fit_toxicity(docs.filter(learned), labels.filter(learned))
+    scored = score_toxicity(docs, weights)
+    return scored.select("doc_id", (~learned).alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned = fold(F.col("doc_id"), 3) != 1
+    model = fit_language_model(docs.filter(learned))
+    found = identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (~learned).alias("held_out"), "lang_pred", "score", "rejected")
