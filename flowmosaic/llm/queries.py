@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowmosaic.llm.common import fold, table
 from flowmosaic.llm.langid import fit_language_model, identify
+from flowmosaic.llm.mixing import mix_digest
 from flowmosaic.llm.quality import quality_rules
 from flowmosaic.llm.sharding import shard_digest
 from flowmosaic.llm.simhash import near_duplicates
@@ -55,3 +56,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_language_model(docs.filter(learned))
     found = identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", (~learned).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_digest(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
