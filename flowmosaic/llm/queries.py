@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowmosaic.llm.common import fold, table
 from flowmosaic.llm.langid import fit_language_model, identify
+from flowmosaic.llm.linededup import line_classes
 from flowmosaic.llm.mixing import mix_digest
 from flowmosaic.llm.quality import quality_rules
 from flowmosaic.llm.sharding import shard_digest
@@ -61,3 +62,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
