@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmosaic.llm.common import fold, table
+from flowmosaic.llm.embeddup import near_vectors
 from flowmosaic.llm.langid import fit_language_model, identify
 from flowmosaic.llm.linededup import line_classes
 from flowmosaic.llm.mixing import mix_digest
@@ -67,3 +68,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
