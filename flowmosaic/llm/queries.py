@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from flowmosaic.llm.common import fold, table
 from flowmosaic.llm.embeddup import near_vectors
 from flowmosaic.llm.langid import fit_language_model, identify
+from flowmosaic.llm.langmodel import fit as fit_model
+from flowmosaic.llm.langmodel import score as score_model
 from flowmosaic.llm.linededup import line_classes
 from flowmosaic.llm.mixing import mix_digest
 from flowmosaic.llm.quality import quality_rules
@@ -73,3 +75,15 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@query
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    model, rare = fit_model(docs.filter(~held_out))
+    scored = score_model(docs, model, rare)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
+    )
