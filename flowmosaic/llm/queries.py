@@ -12,6 +12,7 @@ from flowmosaic.llm.langmodel import fit as fit_model
 from flowmosaic.llm.langmodel import score as score_model
 from flowmosaic.llm.linededup import line_classes
 from flowmosaic.llm.mixing import mix_digest
+from flowmosaic.llm.pieces import decode, encode
 from flowmosaic.llm.quality import quality_rules
 from flowmosaic.llm.sharding import shard_digest
 from flowmosaic.llm.simhash import near_duplicates
@@ -87,3 +88,10 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
     )
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = decode(encode(docs))
+    return back.select("doc_id", "n_pieces", "ids", F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))
