@@ -3,14 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
-#: Trained models, sampling and iterated links have no SQL form; tests compare with brute force instead.
+from flowmosaic.llm.common import fold, materialize, table
+from flowmosaic.llm.linededup import drop_repeated_lines
+from flowmosaic.llm.mixing import mix
+from flowmosaic.llm.pieces import encode
+from flowmosaic.llm.simhash import near_duplicates
+from flowmosaic.llm.toxicity import fit_toxicity, score_toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.5; the classifier learns from the labels outside the test fold."""
+    learned = fold(F.col("doc_id"), 5) != 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(learned)
+    weights = fit_toxicity(docs.select("doc_id", "text").filter(learned), labels)
+    return score_toxicity(docs, weights).filter("predicted = 0").select(*docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier line, or nearly so, are taken out of their documents."""
+    return drop_repeated_lines(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group stays, the one with the smallest id.
+
+    Documents without words are told apart from near copies: they stay. Rows that repeat an id tie and
+    the repeats stay.
+    """
+    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    classes = near_duplicates(docs.filter(worded).select("doc_id", "text"))
+    later = classes.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(later, "doc_id", "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the numbers that bring every source to its target."""
+    return mix(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the ids of their pieces instead of the text."""
+    return encode(docs).drop("text")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_lines),
+    ("simhash_dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("sentencepiece", encode_pieces),
+]
+#: Trained models, balanced sampling and iterated links have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
     return docs
