@@ -12,13 +12,16 @@ EDITS = 2
 MIN_CHARS = 24
 #: A line's place is document and line number in one decimal: doc_id * LINES + line number.
 LINES = 1 << 31
+#: Words of the bitmap that picks candidate lines.
+BITMAP = 1 << 17
+#: Letters whose counts tell most different lines apart before their distance is computed.
+LETTERS = "etaoinshrdlcumwg"
 
 
-def distinct_lines(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """(line, first, n): each line of ``min_chars`` or more with its first place and how often it occurs."""
-    lines = docs.select(F.col(key).alias("_key"), F.posexplode(F.split(F.col(text), "\n")).alias("_at", "line"))
-    lines = lines.filter(F.length("line") >= min_chars)
-    return lines.groupBy("line").agg(F.min(place("_key", "_at")).alias("first"), F.count("*").alias("n"))
+def lines_of(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
+    """(_key, line_no, line) of every line of ``min_chars`` or more."""
+    lines = docs.select(F.col(key).alias("_key"), F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
+    return lines.filter(F.length("line") >= min_chars)
 
 
 def place(key: str, at: str) -> Column:
@@ -47,6 +50,7 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
 
     For a line ``shorter`` characters shorter, a segment that has stayed whole lies at most ``part``
     places from its start (edits before it) and, counted from the end, at most ``edits - part``.
+    Windows beyond the line give keys that meet nothing or are refuted later.
     """
     parts = edits + 1
     keys = []
@@ -55,20 +59,27 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
         for part in range(parts):
             start = segment_start(other, part, parts)
             size = segment_start(other, part + 1, parts) - start
-            # shift of the segment: |shift| <= part and |shift - shorter| <= edits - part
             for shift in range(max(-part, shorter - (edits - part)), min(part, shorter + edits - part) + 1):
-                at = start + shift
-                fits = (at >= 0) & (at + size <= length)
-                keys.append(F.when(fits, F.xxhash64(other, F.lit(part), F.substring(line, at + 1, size))))
-    return F.array_compact(F.array(*keys))
+                keys.append(F.xxhash64(other, F.lit(part), F.substring(line, start + shift + 1, size)))
+    return F.array(*keys)
+
+
+def shiftleft(value: Column, by: Column) -> Column:
+    return F.call_function("shiftleft", value, by)
 
 
-def word_signature(line: Column) -> Column:
-    """64 parity bits of the line's words. One edit changes at most three words, so three bits."""
-    return F.aggregate(
+def line_number(line: Column) -> Column:
+    """A 64-bit name of a line: 32 hash bits over 32 parity bits of its words.
+
+    One edit changes at most three words, so three parity bits. Two lines of one name are both looked
+    at when candidates are verified.
+    """
+    one = F.lit(1).cast("bigint")
+    parity = F.aggregate(
         F.split(line, " "), F.lit(0).cast("bigint"),
-        lambda bits, word: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.hash(word), F.lit(64)))),
+        lambda bits, word: bits.bitwiseXOR(shiftleft(one, F.hash(word).bitwiseAND(F.lit(31)))),
     )
+    return shiftleft(F.hash(line).cast("bigint"), F.lit(32)).bitwiseOR(parity)
 
 
 def edits_within(left: Column, right: Column, edits: int) -> Column:
@@ -115,21 +126,59 @@ def edits_within(left: Column, right: Column, edits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(right) - 1), start, step)["score"]
 
 
+def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
+    """(x, y) line numbers that share a key and differ in few enough parity bits; names only, no texts."""
+    base = lines.select("line", F.length("line").alias("len"), line_number(F.col("line")).alias("name"))
+    indexed = base.select(F.explode(index_keys(F.col("line"), F.col("len"), edits)).alias("key"), F.col("name").alias("x"))
+    probes = base.select(F.explode(probe_keys(F.col("line"), F.col("len"), edits)).alias("key"), F.col("name").alias("y"))
+    parity = F.col("x").bitwiseXOR(F.col("y")).bitwiseAND(F.lit(0xFFFFFFFF))
+    near = (F.col("x") != F.col("y")) & (F.bit_count(parity) <= 3 * edits)
+    return probes.join(indexed, (probes["key"] == indexed["key"]) & near).select("x", "y").distinct()
+
+
+def only_named(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The lines that may occur in the pairs, found by a bitmap of fixed size (``BITMAP`` words of 64 bits).
+
+    The bitmap is broadcast and never larger; the more names there are, the more other lines pass.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAP * 64))
+    names = pairs.select(F.explode(F.array("x", "y")).alias("name"))
+    words = names.select(F.floor(bit("name") / 64).cast("int").alias("_word"), shiftleft(F.lit(1).cast("bigint"), (bit("name") % 64).cast("int")).alias("_bit"))
+    bitmap = words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    asked = lines.withColumn("name", line_number(F.col("line"))).withColumn("_word", F.floor(bit("name") / 64).cast("int"))
+    here = shiftleft(F.lit(1).cast("bigint"), (bit("name") % 64).cast("int"))
+    return asked.join(F.broadcast(bitmap), "_word").filter(F.col("_bits").bitwiseAND(here) != 0).drop("_word", "_bits")
+
+
+def letters_apart(left: Column, right: Column) -> Column:
+    """How much the counts of frequent letters differ; one edit changes the sum by two at most."""
+    def count(line: Column, letter: str) -> Column:
+        return F.length(line) - F.length(F.replace(line, F.lit(letter)))
+
+    return sum((F.abs(count(left, c) - count(right, c)) for c in LETTERS), start=F.lit(0))
+
+
 def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Links (a, b) between the first places of different lines at ``edits`` or less, each once, a < b."""
-    length = F.length("line")
-    base = lines.select("first", "line", length.alias("len"), word_signature(F.col("line")).alias("sig"))
-    indexed = base.select(F.explode(index_keys(F.col("line"), F.col("len"), edits)).alias("key"), F.col("first").alias("a"), F.col("sig").alias("sig_a"))
-    probes = base.select(F.explode(F.array_distinct(probe_keys(F.col("line"), F.col("len"), edits))).alias("key"), F.col("first").alias("b"), F.col("sig").alias("sig_b"))
-    near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("sig_a").bitwiseXOR(F.col("sig_b"))) <= 3 * edits)
-    found = probes.join(indexed, (probes["key"] == indexed["key"]) & near)
-    pairs = materialize(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    left = lines.select(F.col("first").alias("a"), F.col("line").alias("_left"))
-    right = lines.select(F.col("first").alias("b"), F.col("line").alias("_right"))
-    both = pairs.join(left, "a").join(right, "b")
-    return both.filter(
-        (F.abs(F.length("_left") - F.length("_right")) <= edits) & (edits_within(F.col("_left"), F.col("_right"), edits) <= edits)
-    ).select("a", "b")
+    """Links (a, b) between the first places of different lines at ``edits`` or less, each once, a < b.
+
+    lines(_key, line_no, line), repeats included. Keys and names go through the join; texts only of the
+    lines that came out of it, for the edit distance.
+    """
+    distinct = lines.groupBy("line").agg(F.count("*").alias("n"))
+    pairs = materialize(candidate_pairs(distinct, edits), "pairs")
+    asked = materialize(
+        only_named(lines, pairs).groupBy("name", "line").agg(F.min(place("_key", "line_no")).alias("first")), "asked"
+    )
+    left = asked.select(F.col("name").alias("x"), F.col("first").alias("_a"), F.col("line").alias("_left"))
+    right = asked.select(F.col("name").alias("y"), F.col("first").alias("_b"), F.col("line").alias("_right"))
+    both = pairs.join(left, "x").join(right, "y").filter(F.abs(F.length("_left") - F.length("_right")) <= edits)
+    return (
+        both.filter(
+            F.when(letters_apart(F.col("_left"), F.col("_right")) > 2 * edits, False)
+            .otherwise(edits_within(F.col("_left"), F.col("_right"), edits) <= edits)
+        )
+        .select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
+    )
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -141,20 +190,18 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits
     directly; ``kept`` marks the first place. Null texts have no lines. A null key counts as largest.
     Rows that repeat a key and its text tie: their lines are at the same places and stay together.
     """
-    lines = materialize(distinct_lines(docs, key, text, min_chars), "lines")
+    lines = lines_of(docs, key, text, min_chars)
     links = materialize(near_lines(lines, edits), "linked")
-    classes = connected_components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    digest = lambda: F.md5(F.col("line").cast("binary"))
-    named = (
-        lines.select(digest().alias("_line"), "first", "n")
-        .join(classes.withColumnRenamed("node", "first"), "first", "left").join(degree.withColumnRenamed("node", "first"), "first", "left")
-        .select("_line", F.coalesce("component", "first").alias("_class"), F.col("n").alias("n_copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    classes = connected_components(links).withColumnRenamed("node", "first")
+    degree = links.select(F.explode(F.array("a", "b")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links"))
+    # equal lines have equal pairs of 64-bit hashes
+    marked = lines.select("_key", "line_no", F.xxhash64("line").alias("_h"), F.xxhash64(F.lit(1), F.col("line")).alias("_i"))
+    counted = marked.groupBy("_h", "_i").agg(F.min(place("_key", "line_no")).alias("first"), F.count("*").alias("n_copies"))
+    named = counted.join(classes, "first", "left").join(degree, "first", "left").select(
+        "_h", "_i", F.coalesce("component", "first").alias("_class"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
-    occurring = docs.select(F.col(key).alias("_key"), F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
-    occurring = occurring.filter(F.length("line") >= min_chars).select("_key", "line_no", digest().alias("_line"))
     whole = F.floor(F.col("_class") / F.lit(LINES)).cast("decimal(38,0)")
-    out = occurring.join(named, "_line").withColumn("kept", place("_key", "line_no") == F.col("_class"))
+    out = marked.join(named, ["_h", "_i"]).withColumn("kept", place("_key", "line_no") == F.col("_class"))
     return out.select(
         F.col("_key").alias(key), "line_no", whole.cast("bigint").alias("class_doc_id"),
         (F.col("_class") - whole * F.lit(LINES)).cast("int").alias("class_line_no"), "n_copies", "n_links", "kept",
