@@ -15,7 +15,7 @@ LINES = 1 << 31
 #: Words of the bitmap that picks candidate lines.
 BITMAP = 1 << 17
 #: Letters whose counts tell most different lines apart before their distance is computed.
-LETTERS = "etaoinshrdlcumwg"
+LETTERS = "etaoinsr"
 
 
 def lines_of(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
@@ -68,18 +68,20 @@ def shiftleft(value: Column, by: Column) -> Column:
     return F.call_function("shiftleft", value, by)
 
 
-def line_number(line: Column) -> Column:
-    """A 64-bit name of a line: 32 hash bits over 32 parity bits of its words.
+def pair_parity(line: Column) -> Column:
+    """64 parity bits of the pairs of neighbouring words.
 
-    One edit changes at most three words, so three parity bits. Two lines of one name are both looked
-    at when candidates are verified.
+    One edit takes three pairs at most and brings two (or the other way round), so it flips five bits at most.
     """
     one = F.lit(1).cast("bigint")
-    parity = F.aggregate(
-        F.split(line, " "), F.lit(0).cast("bigint"),
-        lambda bits, word: bits.bitwiseXOR(shiftleft(one, F.hash(word).bitwiseAND(F.lit(31)))),
-    )
-    return shiftleft(F.hash(line).cast("bigint"), F.lit(32)).bitwiseOR(parity)
+    start = F.struct(F.lit(0).alias("last"), F.lit(0).cast("bigint").alias("bits"))
+
+    def add(state: Column, word: Column) -> Column:
+        flip = shiftleft(one, F.hash(state["last"], word).bitwiseAND(F.lit(63)))
+        return F.struct(F.hash(word).alias("last"), state["bits"].bitwiseXOR(flip).alias("bits"))
+
+    ends = F.concat(F.split(line, " "), F.array(F.lit("")))
+    return F.aggregate(ends, start, add)["bits"]
 
 
 def edits_within(left: Column, right: Column, edits: int) -> Column:
@@ -95,7 +97,7 @@ def edits_within(left: Column, right: Column, edits: int) -> Column:
     pad = F.array_repeat(F.lit(""), edits)
     # the characters ride in the state: what a lambda takes from outside is evaluated at every step
     start = F.struct(
-        long(ones ^ ((1 << edits) - 1)).alias("vp"), long(0).alias("vn"), long(edits).alias("score"),
+        long(ones ^ ((1 << edits) - 1)).alias("vp"), long(0).alias("vn"), F.least(F.length(left), F.lit(edits)).cast("bigint").alias("score"),
         F.length(left).alias("n"), F.concat(pad, F.split(left, ""), pad, pad).alias("rows"), F.split(right, "").alias("columns"),
     )
 
@@ -127,12 +129,14 @@ def edits_within(left: Column, right: Column, edits: int) -> Column:
 
 
 def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
-    """(x, y) line numbers that share a key and differ in few enough parity bits; names only, no texts."""
-    base = lines.select("line", F.length("line").alias("len"), line_number(F.col("line")).alias("name"))
-    indexed = base.select(F.explode(index_keys(F.col("line"), F.col("len"), edits)).alias("key"), F.col("name").alias("x"))
-    probes = base.select(F.explode(probe_keys(F.col("line"), F.col("len"), edits)).alias("key"), F.col("name").alias("y"))
-    parity = F.col("x").bitwiseXOR(F.col("y")).bitwiseAND(F.lit(0xFFFFFFFF))
-    near = (F.col("x") != F.col("y")) & (F.bit_count(parity) <= 3 * edits)
+    """(x, y) hashes of lines that share a key and differ in few enough parity bits; no texts travel.
+
+    Two lines of one hash are both looked at when candidates are verified.
+    """
+    base = lines.select("line", F.length("line").alias("len"), F.xxhash64("line").alias("name"), "bits")
+    indexed = base.select(F.explode(index_keys(F.col("line"), F.col("len"), edits)).alias("key"), F.col("name").alias("x"), F.col("bits").alias("bits_x"))
+    probes = base.select(F.explode(probe_keys(F.col("line"), F.col("len"), edits)).alias("key"), F.col("name").alias("y"), F.col("bits").alias("bits_y"))
+    near = (F.col("x") != F.col("y")) & (F.bit_count(F.col("bits_x").bitwiseXOR(F.col("bits_y"))) <= 5 * edits)
     return probes.join(indexed, (probes["key"] == indexed["key"]) & near).select("x", "y").distinct()
 
 
@@ -145,7 +149,7 @@ def only_named(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     names = pairs.select(F.explode(F.array("x", "y")).alias("name"))
     words = names.select(F.floor(bit("name") / 64).cast("int").alias("_word"), shiftleft(F.lit(1).cast("bigint"), (bit("name") % 64).cast("int")).alias("_bit"))
     bitmap = words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    asked = lines.withColumn("name", line_number(F.col("line"))).withColumn("_word", F.floor(bit("name") / 64).cast("int"))
+    asked = lines.withColumn("name", F.xxhash64("line")).withColumn("_word", F.floor(bit("name") / 64).cast("int"))
     here = shiftleft(F.lit(1).cast("bigint"), (bit("name") % 64).cast("int"))
     return asked.join(F.broadcast(bitmap), "_word").filter(F.col("_bits").bitwiseAND(here) != 0).drop("_word", "_bits")
 
@@ -158,27 +162,52 @@ def letters_apart(left: Column, right: Column) -> Column:
     return sum((F.abs(count(left, c) - count(right, c)) for c in LETTERS), start=F.lit(0))
 
 
+def shared_start(left: Column, right: Column) -> Column:
+    """Length of the common beginning, by bisection (up to 2^31 characters)."""
+    most = F.least(F.length(left), F.length(right))
+    start = F.struct(F.lit(0).alias("low"), most.alias("high"), left.alias("l"), right.alias("r"))
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"] + 1) / 2).cast("int")
+        same = F.substring(state["l"], F.lit(1), middle) == F.substring(state["r"], F.lit(1), middle)
+        return F.struct(
+            F.when(same, middle).otherwise(state["low"]).alias("low"),
+            F.when(same, state["high"]).otherwise(middle - 1).alias("high"), state["l"].alias("l"), state["r"].alias("r"),
+        )
+
+    turns = F.sequence(F.lit(0), F.ceil(F.log2(most + 2)).cast("int"))
+    return F.aggregate(turns, start, halve)["low"]
+
+
+def trimmed(pairs: DataFrame, left: str, right: str) -> DataFrame:
+    """Both strings without their common beginning and end, which no best edit touches."""
+    cut = pairs.withColumn("_p", shared_start(F.col(left), F.col(right)))
+    cut = cut.withColumn(left, F.substring(left, F.col("_p") + 1, F.length(left))).withColumn(right, F.substring(right, F.col("_p") + 1, F.length(right)))
+    cut = cut.withColumn("_p", shared_start(F.reverse(left), F.reverse(right)))
+    end = lambda c: F.substring(c, F.lit(1), F.length(c) - F.col("_p"))
+    return cut.withColumn(left, end(left)).withColumn(right, end(right)).drop("_p")
+
+
 def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Links (a, b) between the first places of different lines at ``edits`` or less, each once, a < b.
 
     lines(_key, line_no, line), repeats included. Keys and names go through the join; texts only of the
     lines that came out of it, for the edit distance.
     """
-    distinct = lines.groupBy("line").agg(F.count("*").alias("n"))
+    distinct = lines.select("line", pair_parity(F.col("line")).alias("bits")).distinct()
     pairs = materialize(candidate_pairs(distinct, edits), "pairs")
     asked = materialize(
         only_named(lines, pairs).groupBy("name", "line").agg(F.min(place("_key", "line_no")).alias("first")), "asked"
     )
     left = asked.select(F.col("name").alias("x"), F.col("first").alias("_a"), F.col("line").alias("_left"))
     right = asked.select(F.col("name").alias("y"), F.col("first").alias("_b"), F.col("line").alias("_right"))
-    both = pairs.join(left, "x").join(right, "y").filter(F.abs(F.length("_left") - F.length("_right")) <= edits)
-    return (
-        both.filter(
-            F.when(letters_apart(F.col("_left"), F.col("_right")) > 2 * edits, False)
-            .otherwise(edits_within(F.col("_left"), F.col("_right"), edits) <= edits)
-        )
-        .select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
+    both = pairs.join(left, "x").join(right, "y").filter(
+        (F.abs(F.length("_left") - F.length("_right")) <= edits) & (letters_apart(F.col("_left"), F.col("_right")) <= 2 * edits)
     )
+    both = materialize(trimmed(both, "_left", "_right").select("_a", "_b", "_left", "_right"), "middles")
+    one_empty = (F.length("_left") == 0) | (F.length("_right") == 0)
+    distance = F.when(one_empty, F.greatest(F.length("_left"), F.length("_right"))).otherwise(edits_within(F.col("_left"), F.col("_right"), edits))
+    return both.filter(distance <= edits).select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
