@@ -99,10 +99,10 @@ def train_nnpu(positive: Rows, unlabelled: Rows, prior: float, width: int, setti
 
     def side(rows: Rows, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at, owner = rows.pick(which)
-        return np.bincount(owner, weights[at], len(which)) + weights[-1], at, owner
+        return np.bincount(owner, weights[at], len(which)).astype(float) + weights[-1], at, owner
 
     def slope(at: np.ndarray, owner: np.ndarray, each: np.ndarray) -> np.ndarray:
-        out = np.bincount(at, each[owner], width + 1)
+        out = np.bincount(at, each[owner], width + 1).astype(float)
         out[-1] = each.sum()
         return out
 
