@@ -135,8 +135,12 @@ def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
     """
     base = lines.select("line", F.length("line").alias("len"), F.xxhash64("line").alias("name"), "bits")
     indexed = base.select(F.explode(index_keys(F.col("line"), F.col("len"), edits)).alias("key"), F.col("name").alias("x"), F.col("bits").alias("bits_x"))
-    probes = base.select(F.explode(probe_keys(F.col("line"), F.col("len"), edits)).alias("key"), F.col("name").alias("y"), F.col("bits").alias("bits_y"))
-    near = (F.col("x") != F.col("y")) & (F.bit_count(F.col("bits_x").bitwiseXOR(F.col("bits_y"))) <= 5 * edits)
+    # the first keys probe lines of the same length, which find each other from either side: one is enough
+    equal = sum(2 * min(part, edits - part) + 1 for part in range(edits + 1))
+    probes = base.select(F.posexplode(probe_keys(F.col("line"), F.col("len"), edits)).alias("at", "key"), F.col("name").alias("y"), F.col("bits").alias("bits_y"))
+    probes = probes.withColumn("equal", F.col("at") < equal).drop("at")
+    once = (F.col("x") < F.col("y")) | (~F.col("equal") & (F.col("x") != F.col("y")))
+    near = once & (F.bit_count(F.col("bits_x").bitwiseXOR(F.col("bits_y"))) <= 5 * edits)
     return probes.join(indexed, (probes["key"] == indexed["key"]) & near).select("x", "y").distinct()
 
 

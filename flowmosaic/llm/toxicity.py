@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowmosaic.llm.common import keyed_hash, texts_of, word_chunks
+from flowmosaic.llm.common import keyed_hash, materialize, texts_of, word_chunks
 
 BEGINNINGS = (4, 5, 6)
 EDGE = bytes(b for b in range(33, 127) if not chr(b).isalnum())
@@ -68,12 +68,21 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Rows:
-    """Documents as lists of word buckets, laid end to end."""
-
-    def __init__(self, rows: list[np.ndarray]):
-        self.sizes = np.array([len(r) for r in rows], np.int64)
+    """Documents as lists of word places, laid end to end."""
+
+    def __init__(self, words: np.ndarray, offsets: np.ndarray, inner: np.ndarray, chosen: np.ndarray):
+        """Of documents given as words and offsets, the chosen ones; ``inner`` is a word's place or -1."""
+        parts, sizes = [], []
+        for start in range(0, len(chosen), 1000):
+            stop = min(len(chosen), start + 1000)
+            places = inner[words[offsets[start] : offsets[stop]]]
+            owner = np.repeat(np.arange(stop - start), np.diff(offsets[start : stop + 1]))
+            keep = chosen[start:stop][owner] & (places >= 0)
+            parts.append(places[keep])
+            sizes.append(np.bincount(owner[keep], minlength=stop - start))
+        self.at = np.concatenate(parts)
+        self.sizes = np.concatenate(sizes)[chosen]
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)))
-        self.at = np.concatenate(rows) if rows else np.zeros(0, np.int64)
 
     def pick(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(buckets, position of their document in ``which``)."""
@@ -159,27 +168,39 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
             rows = [np.sort(word_buckets(raw, settings.buckets, memory)).astype(np.int32) for raw in texts_of(batch, text)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("draw", "toxic", "any")] + [pa.array(rows, pa.list_(pa.int32()))], names=["draw", "toxic", "any", "at"])
 
-    got = sample.mapInArrow(features, "draw bigint, toxic boolean, any boolean, at array<int>").toArrow()
+    made = materialize(sample.mapInArrow(features, "draw bigint, toxic boolean, any boolean, at array<int>"), "features")
+    least = min(settings.min_documents, max(1, made.count() // 50))
+    often = made.select(F.explode("at").alias("b")).groupBy("b").count().filter(F.col("count") >= least).select("b").toPandas()["b"]
+    kept = np.sort(often.to_numpy(np.int64))
+    place = np.full(settings.buckets, -1, np.int32)
+    place[kept] = np.arange(len(kept))
+    known = docs.sparkSession.sparkContext.broadcast(place)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(p := known.value[x.values.to_numpy(zero_copy_only=False)])[p >= 0] for x in batch.column("at")]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("draw", "toxic", "any")] + [pa.array(rows, pa.list_(pa.int32()))], names=["draw", "toxic", "any", "at"])
+
+    # only places of words that enough documents have come to the driver
+    got = made.mapInArrow(placed, made.schema).toArrow()
     got = got.take(pa.compute.sort_indices(got, [("draw", "ascending"), ("toxic", "ascending")]))
-    rows = [x.values.to_numpy() for x in got["at"].combine_chunks()] if got.num_rows else []
     marked, plain = (np.array(got[c].to_pylist(), bool) for c in ("toxic", "any"))
     weights = np.zeros(settings.buckets + 1)
     weights[-1] = np.log(prior / (1 - prior))
     if not marked.any() or not plain.any():
         return weights
-    seen = np.bincount(np.concatenate(rows), minlength=settings.buckets)
-    kept = np.flatnonzero(seen >= min(settings.min_documents, max(1, len(rows) // 50)))
-    place = np.full(settings.buckets, -1)
-    place[kept] = np.arange(len(kept))
+    lists = got["at"].combine_chunks()
+    found, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+    inner = np.arange(len(kept), dtype=np.int32)
     for shrink in (settings.shrink, settings.refit_shrink):
-        dense = [p[p >= 0] for p in (place[r] for r in rows)]
-        sides = (Rows([r for r, m in zip(dense, side) if m]) for side in (marked, plain))
-        fitted = train_nnpu(*sides, prior, len(kept), settings, shrink)
+        sides = (Rows(found, offsets, inner, side) for side in (marked, plain))
+        fitted = train_nnpu(*sides, prior, int(inner.max(initial=-1)) + 1, settings, shrink)
+        used = np.flatnonzero(inner >= 0)
         weights[:] = 0
-        weights[kept], weights[-1] = fitted[:-1], fitted[-1]
-        kept = kept[fitted[:-1] > settings.strong]
-        place[:] = -1
-        place[kept] = np.arange(len(kept))
+        weights[kept[used]], weights[-1] = fitted[:-1], fitted[-1]
+        strong = used[fitted[:-1] > settings.strong]
+        inner = np.full(len(kept), -1, np.int32)
+        inner[strong] = np.arange(len(strong))
     return weights
 
 
