@@ -11,9 +11,14 @@ def decode_key(key: Column) -> Column:
     return F.decode(key, "UTF-8")
 
 
-def encode_key(date: Column, slot: Column) -> Column:
-    """Inverse of parsing: date and slot -> ``yyyyMMddss`` text."""
-    return F.concat(date_text(date), F.lpad(slot.cast("string"), 2, "0"))
+def encode_key(date: Column, slot: Column, slots: int = 48) -> Column:
+    """Inverse of parsing: date and slot -> ``yyyyMMddss`` text, the slot as wide as the largest of the day.
+
+    A slot with more digits than that is written whole, never shortened.
+    """
+    text = slot.cast("string")
+    width = F.greatest(F.length(text), F.lit(len(str(slots))))
+    return F.concat(date_text(date), F.lpad(text, width, F.lit("0")))
 
 
 def key_date(key: Column) -> Column:

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 def align_weather(flow: DataFrame, weather: DataFrame) -> DataFrame:
     """Left equi-join on (date, slot); ``has_weather`` tells hits from misses.
 
+    Of several readings for one slot the smallest in column order counts, so flow rows never multiply.
     No broadcast hint: the weather table grows with time, so the planner decides by its size.
     """
-    marked = weather.withColumn("has_weather", F.lit(1))
+    values = [c for c in weather.columns if c not in ("date", "slot")]
+    readings = weather.groupBy("date", "slot").agg(F.min(F.struct(*values)).alias("_reading"))
+    marked = readings.select("date", "slot", "_reading.*", F.lit(1).alias("has_weather"))
     return flow.join(marked, ["date", "slot"], "left").withColumn(
         "has_weather", F.coalesce("has_weather", F.lit(0))
     )

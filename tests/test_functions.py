@@ -102,3 +102,10 @@ def test_keyed_uniform_matches_md5_and_ignores_partitioning(spark):
     assert 0.45 < sum(got.values()) / 500 < 0.55
     second = one(spark, keyed.digest_uniform(F.md5(F.lit("a")), 1))
     assert second == int(hashlib.md5(b"a").hexdigest()[8:16], 16) / 2**32
+
+
+def test_slot_keys_of_any_width(spark):
+    rows = spark.sql("SELECT DATE'2024-03-01' AS d, explode(sequence(1, 288)) AS s").withColumn("k", calendar.encode_key(F.col("d"), F.col("s"), 288))
+    back = rows.withColumn("again", calendar.key_slot(F.col("k"))).collect()
+    assert len({r["k"] for r in back}) == 288 and all(r["again"] == r["s"] for r in back)
+    assert rows.select(calendar.encode_key(F.col("d"), F.lit(100)).alias("k")).first()["k"] == "20240301100"

@@ -112,3 +112,10 @@ def test_raw_days_by_day_and_by_cell(spark, flow_rows):
     assert friday["flow"] == [1.0, 0.5, 2.0, 0.5, 101.0, 0.5, 102.0, 0.5, 11.0, 0.5, 12.0, 0.5, 0.0, 0.0, 0.0, 0.0]
     assert saturday["flow"][0::2] == [2 * x for x in friday["flow"][0::2]]
     assert friday["others"][:2] == [1.0, 2.0] and saturday["others"] is None
+
+
+def test_repeated_readings_do_not_multiply_flow(spark):
+    flow = spark.sql("SELECT DATE'2024-03-01' AS date, s AS slot, s * 1.0 AS inflow FROM (SELECT explode(sequence(1, 5)) AS s)")
+    weather = spark.sql("SELECT DATE'2024-03-01' AS date, s AS slot, t AS temperature FROM (SELECT explode(array(1, 1, 2)) AS s, 7.0 AS t) UNION ALL SELECT DATE'2024-03-01', 1, 3.0")
+    got = align.align_weather(flow, weather).collect()
+    assert len(got) == 5 and {r["slot"]: r["temperature"] for r in got if r["has_weather"]} == {1: 3, 2: 7}
