@@ -128,29 +128,70 @@ def edits_within(left: Column, right: Column, edits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(right) - 1), start, step)["score"]
 
 
-def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
-    """(x, y) hashes of lines that share a key and differ in few enough parity bits; no texts travel.
+def character_parity(line: Column) -> Column:
+    """128 parity bits (``low``, ``high``) of the pairs of neighbouring characters; one edit flips four at most."""
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    start = F.struct(F.lit("").alias("last"), none.alias("low"), none.alias("high"))
+
+    def add(state: Column, char: Column) -> Column:
+        at = F.hash(state["last"], char).bitwiseAND(F.lit(127))
+        flip = shiftleft(one, at.bitwiseAND(F.lit(63)))
+        return F.struct(
+            char.alias("last"),
+            state["low"].bitwiseXOR(F.when(at < 64, flip).otherwise(none)).alias("low"),
+            state["high"].bitwiseXOR(F.when(at < 64, none).otherwise(flip)).alias("high"),
+        )
+
+    return F.aggregate(F.concat(F.split(line, ""), F.array(F.lit(""))), start, add).dropFields("last")
+
+
+def differing(left: str, right: str) -> Column:
+    return F.bit_count(F.col(left).bitwiseXOR(F.col(right)))
+
+
+def index_and_probes(lines: DataFrame, edits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the index and rows that probe it: ``key`` and the other columns of ``lines``, ending in _x and _y.
 
-    Two lines of one hash are both looked at when candidates are verified.
+    ``equal_y`` marks probes for lines of the same length.
     """
-    base = lines.select("line", F.length("line").alias("len"), F.xxhash64("line").alias("name"), "bits")
-    indexed = base.select(F.explode(index_keys(F.col("line"), F.col("len"), edits)).alias("key"), F.col("name").alias("x"), F.col("bits").alias("bits_x"))
-    # the first keys probe lines of the same length, which find each other from either side: one is enough
+    base = lines.withColumn("_len", F.length("line"))
+    others = [c for c in lines.columns if c != "line"]
+    indexed = base.select(F.explode(index_keys(F.col("line"), F.col("_len"), edits)).alias("key"), *[F.col(c).alias(f"{c}_x") for c in others])
     equal = sum(2 * min(part, edits - part) + 1 for part in range(edits + 1))
-    probes = base.select(F.posexplode(probe_keys(F.col("line"), F.col("len"), edits)).alias("at", "key"), F.col("name").alias("y"), F.col("bits").alias("bits_y"))
-    probes = probes.withColumn("equal", F.col("at") < equal).drop("at")
-    once = (F.col("x") < F.col("y")) | (~F.col("equal") & (F.col("x") != F.col("y")))
-    near = once & (F.bit_count(F.col("bits_x").bitwiseXOR(F.col("bits_y"))) <= 5 * edits)
-    return probes.join(indexed, (probes["key"] == indexed["key"]) & near).select("x", "y").distinct()
+    probes = base.select(F.posexplode(probe_keys(F.col("line"), F.col("_len"), edits)).alias("_at", "key"), *[F.col(c).alias(f"{c}_y") for c in others])
+    return indexed, probes.withColumn("equal_y", F.col("_at") < equal).drop("_at")
+
+
+def lines_with_partners(lines: DataFrame, edits: int) -> DataFrame:
+    """(name) of the lines that share a key with another line of like parity; each comes once, however many it meets."""
+    indexed, probes = index_and_probes(lines.select("line", F.xxhash64("line").alias("name"), "bits"), edits)
+    probes = probes.drop("equal_y")
+    meet = (indexed["key"] == probes["key"]) & (F.col("name_x") != F.col("name_y")) & (differing("bits_x", "bits_y") <= 5 * edits)
+    asking = probes.join(indexed, meet, "left_semi").select(F.col("name_y").alias("name"))
+    asked = indexed.join(probes, meet, "left_semi").select(F.col("name_x").alias("name"))
+    return asking.unionByName(asked).distinct()
+
+
+def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
+    """(x, y) names of lines that share a key and differ in few enough bits of all parities; no texts travel.
+
+    lines(name, line, bits, low, high). Two lines of one name are both looked at when candidates are verified.
+    """
+    indexed, probes = index_and_probes(lines.select("line", "name", "bits", "low", "high"), edits)
+    # lines of the same length find each other from either side: one is enough
+    once = (F.col("name_x") < F.col("name_y")) | (~F.col("equal_y") & (F.col("name_x") != F.col("name_y")))
+    words = differing("bits_x", "bits_y") <= 5 * edits
+    characters = differing("low_x", "low_y") + differing("high_x", "high_y") <= 4 * edits
+    met = probes.join(indexed, (probes["key"] == indexed["key"]) & once & words & characters)
+    return met.select(F.col("name_x").alias("x"), F.col("name_y").alias("y")).distinct()
 
 
-def only_named(lines: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The lines that may occur in the pairs, found by a bitmap of fixed size (``BITMAP`` words of 64 bits).
+def only_named(lines: DataFrame, names: DataFrame) -> DataFrame:
+    """The lines whose name may be among the names, found by a bitmap of fixed size (``BITMAP`` words of 64 bits).
 
     The bitmap is broadcast and never larger; the more names there are, the more other lines pass.
     """
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAP * 64))
-    names = pairs.select(F.explode(F.array("x", "y")).alias("name"))
     words = names.select(F.floor(bit("name") / 64).cast("int").alias("_word"), shiftleft(F.lit(1).cast("bigint"), (bit("name") % 64).cast("int")).alias("_bit"))
     bitmap = words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
     asked = lines.withColumn("name", F.xxhash64("line")).withColumn("_word", F.floor(bit("name") / 64).cast("int"))
@@ -195,14 +236,16 @@ def trimmed(pairs: DataFrame, left: str, right: str) -> DataFrame:
 def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Links (a, b) between the first places of different lines at ``edits`` or less, each once, a < b.
 
-    lines(_key, line_no, line), repeats included. Keys and names go through the join; texts only of the
-    lines that came out of it, for the edit distance.
+    lines(_key, line_no, line), repeats included. A first pass finds which lines have a partner at all, one row
+    each; only they get a sharper signature and meet in pairs. Texts travel for the pairs left then.
     """
     distinct = lines.select("line", pair_parity(F.col("line")).alias("bits")).distinct()
-    pairs = materialize(candidate_pairs(distinct, edits), "pairs")
+    names = materialize(lines_with_partners(distinct, edits), "names")
+    firsts = only_named(lines, names).groupBy("name", "line").agg(F.min(place("_key", "line_no")).alias("first"))
     asked = materialize(
-        only_named(lines, pairs).groupBy("name", "line").agg(F.min(place("_key", "line_no")).alias("first")), "asked"
+        firsts.withColumn("bits", pair_parity(F.col("line"))).withColumn("_c", character_parity(F.col("line"))).select("*", "_c.*").drop("_c"), "asked"
     )
+    pairs = materialize(candidate_pairs(asked, edits), "pairs")
     left = asked.select(F.col("name").alias("x"), F.col("first").alias("_a"), F.col("line").alias("_left"))
     right = asked.select(F.col("name").alias("y"), F.col("first").alias("_b"), F.col("line").alias("_right"))
     both = pairs.join(left, "x").join(right, "y").filter(
@@ -210,7 +253,10 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     )
     both = materialize(trimmed(both, "_left", "_right").select("_a", "_b", "_left", "_right"), "middles")
     one_empty = (F.length("_left") == 0) | (F.length("_right") == 0)
-    distance = F.when(one_empty, F.greatest(F.length("_left"), F.length("_right"))).otherwise(edits_within(F.col("_left"), F.col("_right"), edits))
+    distance = F.when(one_empty, F.greatest(F.length("_left"), F.length("_right")))
+    if edits <= 2:  # both ends of a middle differ, so two edits are spent there and what lies between stands in the other
+        distance = distance.when(~F.contains("_right", F.expr("substring(_left, 2, length(_left) - 2)")), edits + 1)
+    distance = distance.otherwise(edits_within(F.col("_left"), F.col("_right"), edits))
     return both.filter(distance <= edits).select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
 
 
