@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -156,7 +158,7 @@ def index_and_probes(lines: DataFrame, edits: int) -> tuple[DataFrame, DataFrame
     """
     base = lines.withColumn("_len", F.length("line"))
     others = [c for c in lines.columns if c != "line"]
-    indexed = base.select(F.explode(index_keys(F.col("line"), F.col("_len"), edits)).alias("key"), *[F.col(c).alias(f"{c}_x") for c in others])
+    indexed = base.select(*[F.col(c).alias(f"{c}_x") for c in others], F.explode(index_keys(F.col("line"), F.col("_len"), edits)).alias("key"))
     equal = sum(2 * min(part, edits - part) + 1 for part in range(edits + 1))
     probes = base.select(F.posexplode(probe_keys(F.col("line"), F.col("_len"), edits)).alias("_at", "key"), *[F.col(c).alias(f"{c}_y") for c in others])
     return indexed, probes.withColumn("equal_y", F.col("_at") < equal).drop("_at")
@@ -164,12 +166,16 @@ def index_and_probes(lines: DataFrame, edits: int) -> tuple[DataFrame, DataFrame
 
 def lines_with_partners(lines: DataFrame, edits: int) -> DataFrame:
     """(name) of the lines that share a key with another line of like parity; each comes once, however many it meets."""
-    indexed, probes = index_and_probes(lines.select("line", F.xxhash64("line").alias("name"), "bits"), edits)
-    probes = probes.drop("equal_y")
-    meet = (indexed["key"] == probes["key"]) & (F.col("name_x") != F.col("name_y")) & (differing("bits_x", "bits_y") <= 5 * edits)
-    asking = probes.join(indexed, meet, "left_semi").select(F.col("name_y").alias("name"))
-    asked = indexed.join(probes, meet, "left_semi").select(F.col("name_x").alias("name"))
-    return asking.unionByName(asked).distinct()
+    named = lines.select("line", F.length("line").alias("len"), F.xxhash64("line").alias("name"), "bits")
+
+    def keyed(keys: Callable[[Column, Column, int], Column]) -> DataFrame:
+        return named.select("name", "bits", F.explode(keys(F.col("line"), F.col("len"), edits)).alias("key"))
+
+    # no renaming in between: both joins then read the same two shuffles
+    indexed, probes = keyed(index_keys).alias("i"), keyed(probe_keys).alias("p")
+    meet = (F.col("i.key") == F.col("p.key")) & (F.col("i.name") != F.col("p.name")) & (differing("i.bits", "p.bits") <= 5 * edits)
+    asking, asked = probes.join(indexed, meet, "left_semi"), indexed.join(probes, meet, "left_semi")
+    return asking.select("name").unionByName(asked.select("name")).distinct()
 
 
 def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
