@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import PCAModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,14 +135,19 @@ def pca_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.select("component", "i", (F.round("loading", 5) + 0.0).alias("loading"))
 
 
-@query(with_ctes("stats", """SELECT vec_id, CAST(c AS INTEGER) AS component, round(abs(sum(z * v)), 4) AS size
+@query(with_ctes("stats", """SELECT vec_id, CAST(c AS INTEGER) AS component, round(sum(z * v), 4) + 0.0 AS value
     FROM z JOIN pc USING (i) GROUP BY vec_id, c""", _ALL_COMPONENTS))
 def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size of every row's projection (the sign of a component is arbitrary)."""
+    """Every row's projection; components are signed as in ``pca_loadings``."""
     scaled = _scaled(spark, sf_dir)
-    projected = features.fit_pca(scaled, _COMPONENTS).transform(scaled)
-    long = features.vector_rows(projected, "vec_id", "components")
-    return long.select("vec_id", F.col("i").alias("component"), F.round(F.abs("value"), 4).alias("size"))
+    model = features.fit_pca(scaled, _COMPONENTS)
+    loadings = model.pc.toArray()
+    signs = [-1.0 if -column.min() > column.max() else 1.0 for column in loadings.T]
+    long = features.vector_rows(model.transform(scaled), "vec_id", "components")
+    sign = F.element_at(F.array(*[F.lit(s) for s in signs]), F.col("i") + 1)
+    return long.select(
+        "vec_id", F.col("i").alias("component"), (F.round(F.col("value") * sign, 4) + 0.0).alias("value")
+    )
 
 
 @query(with_ctes("vec_long", """SELECT vec_id, round(sum(x * x), 5) AS energy
@@ -224,7 +231,7 @@ def dense_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
           CROSS JOIN (SELECT CAST(unnest(range(5)) AS INTEGER) AS b) y) t
     WHERE r BETWEEN 0 AND 3 AND c BETWEEN 0 AND 3 GROUP BY date, slot, r, c"""))
 def grid_stencil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = grid.grid_stencil(event_flow(spark, sf_dir), SPEC, kernel(), "inflow", "value")
+    out = grid.grid_stencil(event_flow(spark, sf_dir), SPEC, kernel(), "inflow", "value", unique=True)
     return out.select(key(), *CELL, (F.round("value", 5) + 0.0).alias("value"))
 
 
@@ -235,7 +242,7 @@ def _pool_sql(size: int) -> str:
 
 
 def _pooled(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
-    pooled = grid.grid_pool(event_flow(spark, sf_dir), size, ["inflow", "outflow"])
+    pooled = grid.grid_pool(event_flow(spark, sf_dir), SPEC, size, ["inflow", "outflow"], unique=True)
     return pooled.select(key(), *CELL, r("inflow", 4), r("outflow", 4))
 
 
@@ -257,8 +264,8 @@ def grid_pool_4x4(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY s.date, s.slot, r.v // 2, c.v // 2""").replace("SELECT date, slot, CAST(r.v", "SELECT s.date, s.slot, CAST(r.v"))
 def pool_net_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net flow can be negative, so absent cells must be zeros before the maximum."""
-    filled = grid.net_flow(grid.zero_fill(event_flow(spark, sf_dir), SPEC))
-    pooled = grid.grid_pool(filled, 2, ["net"])
+    filled = grid.net_flow(grid.zero_fill(event_flow(spark, sf_dir), SPEC, unique=True))
+    pooled = grid.grid_pool(filled, SPEC, 2, ["net"], unique=True)
     return pooled.select(key(), *CELL, (F.round("net", 4) + 0.0).alias("net"))
 
 
@@ -284,8 +291,8 @@ def net_day_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In- and outflow against net flow alone, same split, same classifier."""
     examples = protocol_split_augment(event_days(spark, sf_dir), 0.8, SEED)
-    both = classify.classify_examples(examples, 2, 30)
-    net = classify.classify_examples(examples, 2, 30, points=classify.net_points)
+    both = classify.classify_examples(examples, 2, 1000)
+    net = classify.classify_examples(examples, 2, 1000, points=classify.net_points)
     return both.withColumn("channels", F.lit("in+out")).unionByName(
         net.withColumn("channels", F.lit("net"))
     )
@@ -294,20 +301,14 @@ def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- classifiers ---------------------------------------------------------------------------------
 
 
-@query(with_ctes("stats", """SELECT vec_id, round(w * z, 6) + 0.0 AS score,
-    CASE WHEN w * z > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
-    FROM z CROSS JOIN (SELECT sum(z * label) / sum(z * z) AS w FROM z) f""",
-    """z AS (SELECT vec_id, label, (x - mean) / std AS z FROM vec_long JOIN stats USING (i) WHERE i = 0)"""))
+@query(with_ctes("vec_long", """SELECT vec_id, round(list_inner_product(w, f), 4) + 0.0 AS score,
+    CASE WHEN list_inner_product(w, f) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+    FROM split_rows CROSS JOIN linear WHERE NOT is_train""",
+    _SPLIT_SCALED + ",\n" + descent_sql("train_rows", WIDTH, 0.0, "linear", rate=0.7, logistic=False)))
 def linreg_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Least squares through the origin on one scaled feature, cut at 0."""
-    points = vectors(spark, sf_dir).select(
-        "vec_id",
-        F.col("label").cast("double").alias("label"),
-        array_to_vector(F.slice("features", 1, 1)).alias("features"),
-    )
-    model = models.fit_classifier(points, 1, 100)
-    out = models.predict(model, points)
-    return out.select("vec_id", (F.round("score", 6) + 0.0).alias("score"), "prediction")
+    """Least squares through the origin on all scaled features, cut at 0; fitted on the train part."""
+    out = _fit_predict(spark, sf_dir, 1, 1000)
+    return out.select("vec_id", (F.round("score", 4) + 0.0).alias("score"), "prediction")
 
 
 def _fit_predict(spark: SparkSession, sf_dir: str, kind: int, iterations: int) -> DataFrame:
@@ -340,7 +341,7 @@ def logreg_lbfgs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def linear_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fit_predict(spark, sf_dir, 4, 100)
+    return _fit_predict(spark, sf_dir, 4, 1000)
 
 
 @query()
@@ -472,22 +473,30 @@ def features_then_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("model", r("auc"), r("recall"), r("precision"), r("f1"), "n_train", "n_test")
 
 
-@query("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed FROM embeddings")
+_RESTORED = f"""all_rows AS MATERIALIZED (SELECT vec_id, CAST(label AS DOUBLE) AS y, list((x - mean) / std ORDER BY i) AS f
+        FROM vec_long JOIN stats USING (i) GROUP BY vec_id, label),
+{descent_sql("all_rows", WIDTH, 0.0, "linear", rate=0.7, logistic=False)},
+{descent_sql("all_rows", WIDTH, models.L2_REG, "ridge")},
+{descent_sql("all_rows", WIDTH, 0.0, "plain")}"""
+
+
+@query(with_ctes("stats", """SELECT restored, vec_id, round(list_inner_product(w, f), 3) + 0.0 AS score
+    FROM all_rows CROSS JOIN (SELECT 'latest' AS restored, w FROM linear UNION ALL SELECT 'oldest', w FROM ridge
+    UNION ALL SELECT '2000', w FROM plain) kept""", _RESTORED))
 def checkpoint_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of a saved and restored model equal those of the fitted one."""
+    """Every step has another model; each choice must give back the scores of its own. Step 500 is retired."""
     points = vector_points(spark, sf_dir)
-    fitted = models.fit_classifier(points, 2, 20)
-    registry = ModelRegistry(spark, shared_dir(spark, "models"))
-    for step in (1000, 2000):
+    ridge, plain, linear = (models.fit_classifier(points, kind, 1000) for kind in (2, 3, 1))
+    registry = ModelRegistry(spark, shared_dir(spark, "models"), keep=3)
+    for step, fitted in ((500, plain), (1000, ridge), (2000, plain), (3000, linear)):
         registry.save(fitted, step)
-    before = models.predict(fitted, points).select("vec_id", "score", "prediction")
-    after = models.predict(registry.restore("latest"), points).select(
-        "vec_id", F.col("score").alias("score2"), F.col("prediction").alias("prediction2")
-    )
-    changed = (F.col("score") != F.col("score2")) | (F.col("prediction") != F.col("prediction2"))
-    return before.join(after, "vec_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(changed, 1)).alias("n_changed")
-    )
+    scored = [
+        models.predict(registry.restore(choice), points).select(
+            F.lit(str(choice)).alias("restored"), "vec_id", (F.round("score", 3) + 0.0).alias("score")
+        )
+        for choice in ("latest", "oldest", 2000)
+    ]
+    return reduce(DataFrame.unionByName, scored)
 
 
 # -- losses and metrics --------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmosaic.catalog.registry import query
-from flowmosaic.catalog.sql import jitter_sql, uniform_sql, with_ctes
+from flowmosaic.catalog.sql import JITTERED, fine_uniform_sql, jitter_sql, uniform_sql, with_ctes
 from flowmosaic.catalog.tables import SEED, SPEC, event_cells, event_days, event_flow, table
 from flowmosaic.catalog.tables_queries import CELL, checksum, key, r
 from flowmosaic.functions.calendar import weekend_label
@@ -50,16 +50,10 @@ def augment_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_batches(days).select(key(), "label", "batch", "limit")
 
 
-_JITTERED = f"""jittered AS (SELECT date, label, batch, pos, value * CASE WHEN chan = 0
-        THEN {jitter_sql(uniform_sql('flow', 'date', 'batch', 'pos // 2'), 'lim')}
-        ELSE {jitter_sql(uniform_sql('flow', 'date', 'batch', 'pos // 2', word=1), 'lim')} END AS value
-        FROM tensor CROSS JOIN batches)"""
-
-
 @query(with_ctes("tensor batches", """SELECT date, label, CAST(batch AS INTEGER) AS batch,
     CAST(count(*) AS INTEGER) AS n_values, round(sum(value), 4) AS value_sum,
     round(sum(value * (pos + 1)), 4) AS weighted_sum
-    FROM jittered GROUP BY date, label, batch""", _JITTERED), name="union_batches")
+    FROM jittered GROUP BY date, label, batch""", JITTERED), name="union_batches")
 def union_generated_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each batch generated on its own, then concatenated: same rows as one schedule."""
     days = event_days(spark, sf_dir)
@@ -102,7 +96,7 @@ def shuffle_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH indexed AS (SELECT vec_id, label, row_number() OVER (ORDER BY u, vec_id) - 1 AS idx
         FROM (SELECT vec_id, label, {uniform_sql('shuffle', 'vec_id')} AS u FROM embeddings) e),
-    draws AS (SELECT step, draw, CAST(floor({uniform_sql('bootstrap', 'step', 'draw')} * n) AS BIGINT) AS idx
+    draws AS (SELECT step, draw, CAST(floor({fine_uniform_sql('bootstrap', 'step', 'draw')} * n) AS BIGINT) AS idx
         FROM (SELECT CAST(id // 32 AS INTEGER) AS step, CAST(id % 32 AS INTEGER) AS draw
               FROM (SELECT unnest(range(3200)) AS id) d) s CROSS JOIN (SELECT count(*) AS n FROM embeddings) c)
     SELECT step, draw, vec_id, label FROM draws JOIN indexed USING (idx)""")

@@ -116,10 +116,30 @@ def uniform_sql(purpose: str, *key: str, seed: int = 7, word: int = 0) -> str:
     )
 
 
+def fine_uniform_sql(purpose: str, *key: str, seed: int = 7) -> str:
+    """Keyed uniform draw of 52 bits."""
+    parts = ", ".join([f"'{seed}'", f"'{purpose}'", *key])
+    return (
+        f"(CAST('0x' || substr(md5(concat_ws('|', {parts})), 1, 13) AS BIGINT)"
+        " / CAST(4503599627370496 AS DOUBLE))"
+    )
+
+
 def jitter_sql(u: str, lim: str) -> str:
     return f"(1 + (2 * {u} - 1) * {lim} / 100)"
 
 
+# Needs tensor and batches: every generated batch of every day in long form.
+JITTERED = f"""jittered AS (SELECT date, label, batch, pos, value * CASE WHEN chan = 0
+        THEN {jitter_sql(uniform_sql('flow', 'date', 'batch', 'pos // 2'), 'lim')}
+        ELSE {jitter_sql(uniform_sql('flow', 'date', 'batch', 'pos // 2', word=1), 'lim')} END AS value
+        FROM tensor CROSS JOIN batches)"""
+# Needs others and batches.
+JITTERED_OTHERS = f"""jittered_others AS (SELECT date, batch, i,
+        value * {jitter_sql(uniform_sql('others', 'date', 'batch', 'i'), 'lim')} AS value
+        FROM others CROSS JOIN batches)"""
+
+
 def weight_sql(i: str, j: str) -> str:
     return f"((({i} * 7 + {j} * 13) % 11 - 5) / CAST(10 AS DOUBLE))"
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmosaic.catalog.registry import query
-from flowmosaic.catalog.sql import weight_sql, with_ctes
+from flowmosaic.catalog.sql import JITTERED, JITTERED_OTHERS, weight_sql, with_ctes
 from flowmosaic.catalog.tables import (
     SEED,
     SPEC,
@@ -24,7 +24,7 @@ from flowmosaic.operators import align, grid, quality
 from flowmosaic.operators.augment import augment_days
 from flowmosaic.operators.features import concat_features, labeled_points, linear_score
 from flowmosaic.plans.days import day_totals as day_totals_plan
-from flowmosaic.schema import WEATHER_CLASSES
+from flowmosaic.schema import WEATHER_CLASSES, GridSpec
 from flowmosaic.session import shared_dir
 from flowmosaic.sources import registry, scans, sinks
 
@@ -103,14 +103,41 @@ def scan_raw_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_summary(scans.scan_raw_days(spark, path))
 
 
-@query(with_ctes("days batches", """SELECT date AS source_date, CAST(batch AS INTEGER) AS batch,
-    lim AS "limit", label, 1536 AS n_flow, 19 AS n_others FROM days CROSS JOIN batches"""))
+_GENERATED = f"""{JITTERED},
+{JITTERED_OTHERS},
+flow_sums AS (SELECT date, label, batch, count(*) AS n_flow, sum(value) AS flow_sum, sum(value * (pos + 1)) AS flow_weighted
+        FROM jittered GROUP BY date, label, batch),
+other_sums AS (SELECT date, batch, count(*) AS n_others, sum(value) AS others_sum, sum(value * (i + 1)) AS others_weighted
+        FROM jittered_others GROUP BY date, batch),
+generated AS (SELECT * FROM flow_sums LEFT JOIN other_sums USING (date, batch) JOIN batches USING (batch))"""
+
+
+def _generated_sums(generated: DataFrame) -> DataFrame:
+    """Sizes, sums and position-weighted sums of both arrays of every generated day."""
+    def add(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x)
+
+    def sums(name: str) -> list[Column]:
+        numbered = F.transform(name, lambda x, i: x * (i + 1))
+        return [
+            F.size(name).alias(f"n_{name}"),
+            add(F.col(name)).alias(f"{name}_sum"),
+            add(numbered).alias(f"{name}_weighted"),
+        ]
+
+    return generated.select("source_date", "batch", "limit", "label", *sums("flow"), *sums("others"))
+
+
+@query(with_ctes("tensor others batches", """SELECT date AS source_date, CAST(batch AS INTEGER) AS batch,
+    lim AS "limit", label, CAST(n_flow AS INTEGER) AS n_flow, CAST(n_others AS INTEGER) AS n_others,
+    round(flow_sum, 4) AS flow_sum, round(flow_weighted, 4) AS flow_weighted,
+    round(others_sum, 4) AS others_sum, round(others_weighted, 4) AS others_weighted FROM generated""", _GENERATED))
 def scan_gen_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "gen-days")
     sinks.write_gen_days(augment_days(event_days(spark, sf_dir), SEED), path)
-    return scans.scan_gen_days(spark, path).select(
-        key("source_date"), "batch", "limit", "label",
-        F.size("flow").alias("n_flow"), F.size("others").alias("n_others"),
+    return _generated_sums(scans.scan_gen_days(spark, path)).select(
+        key("source_date"), "batch", "limit", "label", "n_flow", "n_others",
+        *[r(c, 4) for c in ("flow_sum", "flow_weighted", "others_sum", "others_weighted")],
     )
 
 
@@ -124,21 +151,26 @@ def sink_raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_summary(scans.scan_raw_days(spark, path))
 
 
-@query(with_ctes("days batches", """SELECT CAST(batch AS INTEGER) AS batch, max(lim) AS "limit",
-    count(*) AS n_days, CAST(sum(label) AS BIGINT) AS n_weekend
-    FROM days CROSS JOIN batches GROUP BY batch"""))
+@query(with_ctes("tensor others batches", """SELECT CAST(batch AS INTEGER) AS batch, max(lim) AS "limit",
+    count(*) AS n_days, CAST(sum(label) AS BIGINT) AS n_weekend, round(sum(flow_sum), 3) AS flow_sum,
+    round(sum(flow_weighted), 2) AS flow_weighted, round(sum(others_sum), 3) AS others_sum,
+    round(sum(others_weighted), 2) AS others_weighted FROM generated GROUP BY batch""", _GENERATED))
 def sink_gen_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "gen-sink")
     generated = augment_days(event_days(spark, sf_dir), SEED)
     sinks.write_gen_days(generated.withColumn("label", F.lit(-1)), path)
     sinks.write_gen_days(generated, path)
     return (
-        scans.scan_gen_days(spark, path)
+        _generated_sums(scans.scan_gen_days(spark, path))
         .groupBy("batch")
         .agg(
             F.max("limit").alias("limit"),
             F.count(F.lit(1)).alias("n_days"),
             F.sum("label").alias("n_weekend"),
+            F.round(F.sum("flow_sum"), 3).alias("flow_sum"),
+            F.round(F.sum("flow_weighted"), 2).alias("flow_weighted"),
+            F.round(F.sum("others_sum"), 3).alias("others_sum"),
+            F.round(F.sum("others_weighted"), 2).alias("others_weighted"),
         )
     )
 
@@ -495,15 +527,20 @@ def unmatched_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missed.select(key(), "slot")
 
 
-@query("""SELECT vec_id, CAST(label AS INTEGER) AS label, round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS feature_sum
-    FROM embeddings""")
+@query("""SELECT doc_id, CAST(quality AS DOUBLE) AS label, CAST(n_chars AS DOUBLE) AS n_chars,
+    CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS n_spaces FROM documents JOIN labels USING (doc_id)""")
 def zip_features_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features and labels as two tables, paired by id."""
-    stored = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    features = stored.select("vec_id", F.col("embedding").cast("array<double>").alias("features"))
-    paired = align.zip_by_key(features, stored.select("vec_id", "label"), "vec_id")
-    total = F.aggregate("features", F.lit(0.0), lambda acc, x: acc + x)
-    return paired.select("vec_id", "label", F.round(total, 6).alias("feature_sum"))
+    """Features of the documents and the labels from their own table, paired by id."""
+    spaces = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))
+    features = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "doc_id", F.array(F.col("n_chars").cast("double"), spaces.cast("double")).alias("features")
+    )
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(
+        "doc_id", F.col("quality").cast("double").alias("label")
+    )
+    return align.zip_by_key(features, labels, "doc_id").select(
+        "doc_id", "label", F.col("features")[0].alias("n_chars"), F.col("features")[1].alias("n_spaces")
+    )
 
 
 @query(with_ctes("pred", "SELECT doc_id, prediction, label FROM pred"))
@@ -538,6 +575,25 @@ def deduplicate_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(with_ctes("cells", """SELECT date, count(*) FILTER (WHERE grid_row < 3) AS n_cells,
+    CAST(coalesce(sum(copies - 1) FILTER (WHERE grid_row < 3), 0) AS BIGINT) AS n_copies,
+    CAST(coalesce(sum(copies) FILTER (WHERE grid_row >= 3), 0) AS BIGINT) AS n_stray
+    FROM (SELECT date, slot, grid_row, grid_col, count(*) AS copies FROM cells
+          GROUP BY date, slot, grid_row, grid_col) c GROUP BY date"""))
+def cell_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against a grid of three rows the observations of the fourth are strays."""
+    report = quality.cell_quality(event_cells(spark, sf_dir), GridSpec(3, 4, 30))
+    return report.select(key(), "n_cells", "n_copies", "n_stray")
+
+
+@query(with_ctes("flow", """SELECT date, n_slots, bad_rows, CAST(n_slots = 48 AND bad_rows = 0 AS INTEGER) AS is_complete
+    FROM (SELECT date, CAST(count(DISTINCT slot) AS INTEGER) AS n_slots,
+          count(*) FILTER (WHERE slot < 1 OR slot > 48) AS bad_rows FROM flow GROUP BY date) d"""))
+def day_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = quality.day_quality(event_cells(spark, sf_dir), SPEC.slots)
+    return report.select(key(), "n_slots", "bad_rows", "is_complete")
+
+
 @query(with_ctes("flow", """SELECT date, slot, CAST(row_number() OVER w AS INTEGER) AS position,
     coalesce(lead(slot) OVER w, -1) AS next_slot FROM (SELECT DISTINCT date, slot FROM flow) s
     WINDOW w AS (PARTITION BY date ORDER BY slot)"""))
@@ -563,5 +619,5 @@ def first_slot_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_ctes("flow days", """SELECT date, label, count(*) AS n_cells, round(sum(inflow), 4) AS inflow,
     round(sum(outflow), 4) AS outflow FROM flow JOIN days USING (date) GROUP BY date, label"""))
 def day_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = day_totals_plan(event_flow(spark, sf_dir), SPEC)
+    totals = day_totals_plan(event_flow(spark, sf_dir), SPEC, unique=True)
     return totals.select(key(), "label", "n_cells", r("inflow", 4), r("outflow", 4))

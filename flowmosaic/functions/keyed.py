@@ -31,6 +31,12 @@ def keyed_uniform(seed: int, purpose: str, *key: Column) -> Column:
     return digest_uniform(keyed_digest(seed, purpose, *key))
 
 
+def keyed_fine_uniform(seed: int, purpose: str, *key: Column) -> Column:
+    """A draw of 52 bits, for picking among more rows than one word can tell apart."""
+    leading = F.substr(keyed_digest(seed, purpose, *key), F.lit(1), F.lit(13))
+    return F.conv(leading, 16, 10).cast("bigint") / F.lit(4503599627370496.0)
+
+
 def jitter_factor(u: Column, limit: Column) -> Column:
     """Uniform u -> factor in [1 - limit%, 1 + limit%)."""
     return 1.0 + (2.0 * u - 1.0) * limit / 100.0

@@ -8,11 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowmosaic.functions.arrays import bind, flat_position
-from flowmosaic.operators.quality import deduplicate_cells, gate_aggregates, gate_passed
+from flowmosaic.operators.quality import (
+    CELL_KEYS,
+    clean_cells,
+    deduplicate_cells,
+    gate_aggregates,
+    gate_passed,
+    on_grid,
+)
 from flowmosaic.schema import FLOW_UNIT, METEO_UNIT, GridSpec
 
-CELL_KEYS = ("date", "slot", "grid_row", "grid_col")
-
 
 def scale_flow(flow: DataFrame) -> DataFrame:
     return flow.withColumns(
@@ -74,8 +79,9 @@ def collect_dense(
 ) -> DataFrame:
     """Group long rows by ``keys`` into one zero-filled array of ``size`` values per group.
 
-    Positions must be unique within a group, which bounds a group by ``size``. Rows outside
-    ``where`` count for ``extra`` aggregates but not for the array.
+    Positions must be unique within a group, which bounds a group by ``size``; a repeated one is an
+    error, for it would shift all that follow. Rows outside ``where`` count for ``extra`` aggregates
+    but not for the array.
     """
     entry = F.struct(
         position.alias("pos"), *[v.alias(f"v{k}") for k, v in enumerate(values, start=1)]
@@ -83,9 +89,12 @@ def collect_dense(
     if where is not None:
         entry = F.when(where, entry)
     grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_entries"), *extra)
-    return grouped.withColumn(
-        out, fill_positions(F.col("_entries"), size, len(values))
-    ).drop("_entries")
+    positions = F.transform("_entries", lambda e: e["pos"])
+    filled = F.when(
+        F.size(F.array_distinct(positions)) == F.size("_entries"),
+        fill_positions(F.col("_entries"), size, len(values)),
+    ).otherwise(F.raise_error(F.lit("a cell occurs more than once; merge copies with clean_cells")))
+    return grouped.withColumn(out, filled).drop("_entries")
 
 
 def day_tensor(
@@ -98,11 +107,8 @@ def day_tensor(
     are unique, so a group never exceeds one day's tensor.
     """
     cells = flow if unique else deduplicate_cells(flow)
-    inside = (
-        F.col("grid_row").between(0, spec.rows - 1)
-        & F.col("grid_col").between(0, spec.cols - 1)
-        & F.col("slot").between(1, spec.slots)
-    )
+    # Strays stay out of the array, but their slots count for the gate as in ``complete_days``.
+    inside = on_grid(spec) & F.col("slot").between(1, spec.slots)
     position = flat_position(
         F.col("grid_row"), F.col("grid_col"), (F.col("slot") - 1) * 2, spec
     )
@@ -133,10 +139,11 @@ def cell_series(flow: DataFrame, spec: GridSpec, value: str, out: str) -> DataFr
     )
 
 
-def zero_fill(flow: DataFrame, spec: GridSpec) -> DataFrame:
+def zero_fill(flow: DataFrame, spec: GridSpec, *, unique: bool = False) -> DataFrame:
     """Every cell of every (date, slot) that has at least one row; absent cells become 0.
 
-    Zero rows are generated from the distinct slots and merged by one aggregation.
+    Zero rows are generated from the distinct slots and merged by one aggregation, after
+    ``clean_cells``.
     """
     grid = F.sequence(F.lit(0), F.lit(spec.cells - 1))
     zeros = (
@@ -153,7 +160,8 @@ def zero_fill(flow: DataFrame, spec: GridSpec) -> DataFrame:
         )
     )
     return (
-        flow.select(*CELL_KEYS, "inflow", "outflow")
+        clean_cells(flow, spec, unique=unique)
+        .select(*CELL_KEYS, "inflow", "outflow")
         .unionByName(zeros)
         .groupBy(*CELL_KEYS)
         .agg(F.sum("inflow").alias("inflow"), F.sum("outflow").alias("outflow"))
@@ -161,9 +169,15 @@ def zero_fill(flow: DataFrame, spec: GridSpec) -> DataFrame:
 
 
 def grid_stencil(
-    flow: DataFrame, spec: GridSpec, kernel: Sequence[Sequence[float]], value: str, out: str
+    flow: DataFrame,
+    spec: GridSpec,
+    kernel: Sequence[Sequence[float]],
+    value: str,
+    out: str,
+    *,
+    unique: bool = False,
 ) -> DataFrame:
-    """Cross-correlation with an odd-sided kernel, stride 1, zero padding.
+    """Cross-correlation with an odd-sided kernel, stride 1, zero padding, after ``clean_cells``.
 
     Cell (r, c) feeds target (r - a + h, c - b + h) with weight kernel[a][b]. Cells are co-located
     by (date, slot) before they fan out, so the shuffle carries one row per cell and the fan-out
@@ -182,7 +196,8 @@ def grid_stencil(
         ]
     )
     return (
-        flow.select(*CELL_KEYS, value)
+        clean_cells(flow, spec, unique=unique)
+        .select(*CELL_KEYS, value)
         .repartition("date", "slot")
         .select("date", "slot", "grid_row", "grid_col", value, F.explode(taps).alias("tap"))
         .select(
@@ -201,12 +216,14 @@ def grid_stencil(
     )
 
 
-def grid_pool(flow: DataFrame, size: int, values: Sequence[str]) -> DataFrame:
-    """Max over size x size blocks, stride ``size``; absent cells are skipped.
+def grid_pool(
+    flow: DataFrame, spec: GridSpec, size: int, values: Sequence[str], *, unique: bool = False
+) -> DataFrame:
+    """Max over size x size blocks, stride ``size``, after ``clean_cells``; absent cells are skipped.
 
     Zero-fill first where values can be negative.
     """
-    return flow.groupBy(
+    return clean_cells(flow, spec, unique=unique).groupBy(
         "date",
         "slot",
         F.floor(F.col("grid_row") / size).cast("int").alias("grid_row"),

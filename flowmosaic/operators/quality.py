@@ -7,7 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WORD_BITS = 62  # bits used per BIGINT; a half-hour day (48 slots) needs one word
+from flowmosaic.schema import GridSpec
+
+CELL_KEYS = ("date", "slot", "grid_row", "grid_col")
+WORD_BITS = 62 # bits used per BIGINT; a half-hour day (48 slots) needs one word
 
 
 def _bitmap_words(slots: int) -> list[tuple[int, int]]:
@@ -94,11 +97,43 @@ def duplicate_cells(flow: DataFrame) -> DataFrame:
 
 
 def deduplicate_cells(flow: DataFrame) -> DataFrame:
-    """One row per (date, slot, cell): the smallest (inflow, outflow) pair of the copies."""
+    """One row per (date, slot, cell): the smallest of the copies by (inflow, outflow), then by the other values."""
+    first = [c for c in ("inflow", "outflow") if c in flow.columns]
+    values = first + [c for c in flow.columns if c not in (*CELL_KEYS, *first)]
     return (
-        flow.groupBy("date", "slot", "grid_row", "grid_col")
-        .agg(F.min(F.struct("inflow", "outflow")).alias("kept"))
-        .select("date", "slot", "grid_row", "grid_col", "kept.inflow", "kept.outflow")
+        flow.groupBy(*CELL_KEYS)
+        .agg(F.min(F.struct(*values)).alias("_kept"))
+        .select(*CELL_KEYS, *[F.col("_kept")[v].alias(v) for v in values])
+    )
+
+
+def on_grid(spec: GridSpec) -> Column:
+    """The cell lies on the grid. Null coordinates do not."""
+    inside = F.col("grid_row").between(0, spec.rows - 1) & F.col("grid_col").between(0, spec.cols - 1)
+    return F.coalesce(inside, F.lit(False))
+
+
+def clean_cells(flow: DataFrame, spec: GridSpec, *, unique: bool = False) -> DataFrame:
+    """The cells that tensors, totals, stencils, pooling and zero-filling work on.
+
+    One rule for all: cells off the grid are left out, and of several copies of a cell
+    ``deduplicate_cells`` chooses. ``cell_quality`` counts both. ``unique=True`` vouches that there
+    are no copies, as after an aggregation, and saves the merging shuffle.
+    """
+    inside = flow.filter(on_grid(spec))
+    return inside if unique else deduplicate_cells(inside)
+
+
+def cell_quality(flow: DataFrame, spec: GridSpec) -> DataFrame:
+    """(date, n_cells, n_copies, n_stray): distinct cells on the grid, surplus copies, rows off the grid."""
+    per_cell = flow.groupBy(*CELL_KEYS).agg(
+        F.count(F.lit(1)).alias("_rows"), F.first(on_grid(spec)).alias("_inside")
+    )
+    inside = F.col("_inside")
+    return per_cell.groupBy("date").agg(
+        F.count(F.when(inside, 1)).alias("n_cells"),
+        F.sum(F.when(inside, F.col("_rows") - 1).otherwise(0)).alias("n_copies"),
+        F.sum(F.when(inside, 0).otherwise(F.col("_rows"))).alias("n_stray"),
     )
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowmosaic.functions.keyed import keyed_uniform
+from flowmosaic.functions.keyed import keyed_fine_uniform, keyed_uniform
 from flowmosaic.operators.augment import augment_days
 
 # Upper bound on the rows of the histogram that gives exact global ranks. One bucket of a 10^12-row
@@ -134,7 +134,7 @@ def bootstrap_batches(
             F.floor(F.col("id") / batch_size).cast("int").alias("step"),
             (F.col("id") % batch_size).cast("int").alias("draw"),
         )
-        .withColumn("_u", keyed_uniform(seed, "bootstrap", F.col("step"), F.col("draw")))
+        .withColumn("_u", keyed_fine_uniform(seed, "bootstrap", F.col("step"), F.col("draw")))
         .withColumn("idx", F.floor(F.col("_u") * total))
     )
     picks = draws.join(dense_index(rows, keys, seed, buckets), "idx").select(

@@ -9,20 +9,23 @@ from flowmosaic.functions.arrays import others_vector, weather_onehot
 from flowmosaic.functions.calendar import weekend_label
 from flowmosaic.operators.augment import augment_days
 from flowmosaic.operators.grid import day_tensor, scale_flow, scale_weather
-from flowmosaic.operators.quality import gate_aggregates, gate_passed
+from flowmosaic.operators.quality import deduplicate_cells, gate_aggregates, gate_passed, on_grid
 from flowmosaic.schema import GridSpec
 from flowmosaic.sources.sinks import write_gen_days, write_raw_days
 
 
-def day_totals(flow: DataFrame, spec: GridSpec) -> DataFrame:
+def day_totals(flow: DataFrame, spec: GridSpec, *, unique: bool = False) -> DataFrame:
     """(date, inflow, outflow, n_cells, label): what each complete day amounts to.
 
-    The gate's aggregates ride along with the sums, so the flow is read once.
+    The gate's aggregates ride along with the sums, so the flow is read once. Cells count as in
+    ``clean_cells``: those off the grid add nothing, copies are merged.
     """
-    totals = flow.groupBy("date").agg(
-        F.sum("inflow").alias("inflow"),
-        F.sum("outflow").alias("outflow"),
-        F.count(F.lit(1)).alias("n_cells"),
+    cells = flow if unique else deduplicate_cells(flow)
+    inside = on_grid(spec)
+    totals = cells.groupBy("date").agg(
+        F.coalesce(F.sum(F.when(inside, F.col("inflow"))), F.lit(0.0)).alias("inflow"),
+        F.coalesce(F.sum(F.when(inside, F.col("outflow"))), F.lit(0.0)).alias("outflow"),
+        F.count(F.when(inside, 1)).alias("n_cells"),
         *gate_aggregates(spec.slots),
     )
     return totals.filter(gate_passed(spec.slots)).select(

@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowmosaic.operators import grid
+from flowmosaic.operators.quality import cell_quality
+from flowmosaic.plans.days import day_totals
 from flowmosaic.schema import GridSpec
 
 SPEC = GridSpec(6, 5, 720)
@@ -46,6 +48,32 @@ def test_day_tensor_merges_copies_and_ignores_cells_off_the_grid(flow_rows):
     assert got == [1.0, 2.0, 0.0, 0.0, 0.0, 0.0, 3.0, 4.0]
 
 
+def test_copies_and_strays_follow_one_rule(flow_rows):
+    """Tensor, totals, stencil, pooling and zero-fill see the smallest copy and no cell off the grid."""
+    spec = GridSpec(1, 2, 720)
+    good = [("20240101", 1, 0, 0, 1.0, 7.0), ("20240101", 2, 0, 1, 3.0, 4.0)]
+    strays = [("20240101", 1, 0, 2, 9.0, 9.0), ("20240101", 1, -1, 0, 9.0, 9.0), ("20240101", 1, None, 0, 9.0, 9.0)]
+    flow = flow_rows(good + [("20240101", 1, 0, 0, 50.0, 2.0)] + strays)
+    assert grid.day_tensor(flow, spec).first()["flow"] == [1.0, 7.0, 0.0, 0.0, 0.0, 0.0, 3.0, 4.0]
+    total = day_totals(flow, spec).first()
+    assert (total["inflow"], total["outflow"], total["n_cells"]) == (4.0, 11.0, 2)
+    ones = [[1.0] * 3 for _ in range(3)]
+    stencil = {(r["slot"], r["grid_row"], r["grid_col"]): r["v"] for r in grid.grid_stencil(flow, spec, ones, "outflow", "v").collect()}
+    assert stencil == {(1, 0, 0): 7.0, (1, 0, 1): 7.0, (2, 0, 0): 4.0, (2, 0, 1): 4.0}
+    pooled = {(r["slot"], r["grid_row"], r["grid_col"], r["inflow"]) for r in grid.grid_pool(flow, spec, 2, ["inflow"]).collect()}
+    assert pooled == {(1, 0, 0, 1.0), (2, 0, 0, 3.0)}
+    assert sorted(r["inflow"] for r in grid.zero_fill(flow, spec).collect()) == [0.0, 0.0, 1.0, 3.0]
+    report = cell_quality(flow, spec).first()
+    assert (report["n_cells"], report["n_copies"], report["n_stray"]) == (2, 1, 3)
+
+
+def test_a_false_vouching_for_unique_cells_is_an_error(flow_rows):
+    spec = GridSpec(1, 1, 720)
+    rows = [("20240101", s, 0, 0, 1.0, 1.0) for s in (1, 2, 2)]
+    with pytest.raises(Exception, match="more than once"):
+        grid.day_tensor(flow_rows(rows), spec, unique=True).collect()
+
+
 def test_day_with_all_cells_off_the_grid_is_all_zero(flow_rows):
     spec = GridSpec(1, 1, 720)
     rows = [("20240101", s, 3, 3, 1.0, 1.0) for s in (1, 2)]
@@ -89,7 +117,7 @@ def test_stencil_equals_cross_correlation(cube, side):
 
 def test_stencil_fans_out_after_its_only_shuffle(cube):
     flow, _ = cube
-    out = grid.grid_stencil(flow, SPEC, [[1.0]], "inflow", "v")
+    out = grid.grid_stencil(flow, SPEC, [[1.0]], "inflow", "v", unique=True)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
 
@@ -100,7 +128,7 @@ def test_pooling_with_zero_fill(cube, size):
     filled = grid.net_flow(grid.zero_fill(flow, SPEC))
     assert filled.count() == 2 * SPEC.slots * SPEC.cells
     net = values[:, :, 0] - values[:, :, 1]
-    pooled = grid.grid_pool(filled, size, ["net"]).collect()
+    pooled = grid.grid_pool(filled, SPEC, size, ["net"], unique=True).collect()
     for r in pooled:
         block = net[
             r["date"].day - 1, r["slot"] - 1,
