@@ -25,30 +25,36 @@ def unmatched_slots(flow: DataFrame, weather: DataFrame) -> DataFrame:
     return flow.select("date", "slot").distinct().join(weather, ["date", "slot"], "left_anti")
 
 
+ATTRIBUTES = ("temperature", "windspeed", "weather_code")
+
+
+def earliest_reading(weather: DataFrame) -> DataFrame:
+    """(date, slot, attributes): each day's first slot with a usable reading.
+
+    A reading is usable if none of its values is null; of several for one slot the smallest counts.
+    """
+    return (
+        weather.dropna(subset=list(ATTRIBUTES))
+        .groupBy("date")
+        .agg(F.min(F.struct("slot", *ATTRIBUTES)).alias("_first"))
+        .select("date", "_first.*")
+    )
+
+
 def first_slot_attributes(flow: DataFrame, weather: DataFrame, missing: str = "null") -> DataFrame:
     """Each day's weather at its first flow slot.
 
-    Where that slot has no weather row, ``missing="null"`` keeps nulls and ``missing="next"``
+    Where that slot has no usable reading, ``missing="null"`` keeps nulls and ``missing="next"``
     takes the day's next flow slot that has one. A day without any keeps nulls either way.
     """
-    slots = flow.select("date", "slot").distinct()
-    if missing == "null":
-        first = slots.groupBy("date").agg(F.min("slot").alias("slot"))
-        return first.join(weather, ["date", "slot"], "left").withColumnRenamed("slot", "first_slot")
-    if missing != "next":
+    if missing not in ("null", "next"):
         raise ValueError("missing must be 'null' or 'next'")
-    values = ["temperature", "windspeed", "weather_code"]
-    attributes = F.when(F.col("weather_code").isNotNull(), F.struct(*values))
-    return (
-        slots.join(weather, ["date", "slot"], "left")
-        .groupBy("date")
-        .agg(
-            F.coalesce(
-                F.min(F.when(attributes.isNotNull(), F.col("slot"))), F.min("slot")
-            ).alias("first_slot"),
-            F.min_by(attributes, F.when(attributes.isNotNull(), F.col("slot"))).alias("_first"),
-        )
-        .select("date", "first_slot", *[F.col(f"_first.{v}").alias(v) for v in values])
+    first = flow.groupBy("date").agg(F.min("slot").alias("slot"))
+    slots = flow.select("date", "slot").distinct() if missing == "next" else first
+    readings = earliest_reading(weather.join(slots, ["date", "slot"], "left_semi"))
+    found = readings.withColumnRenamed("slot", "_found")
+    return first.join(found, "date", "left").select(
+        "date", F.coalesce("_found", "slot").alias("first_slot"), *ATTRIBUTES
     )
 
 

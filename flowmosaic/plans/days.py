@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowmosaic.functions.arrays import others_vector, weather_onehot
 from flowmosaic.functions.calendar import weekend_label
+from flowmosaic.operators.align import earliest_reading
 from flowmosaic.operators.augment import augment_days
 from flowmosaic.operators.grid import day_tensor, scale_flow, scale_weather
 from flowmosaic.operators.quality import deduplicate_cells, gate_aggregates, gate_passed, on_grid
@@ -43,14 +44,7 @@ def day_others(weather: DataFrame, spec: GridSpec, missing: str = "null") -> Dat
     if missing not in ("null", "next"):
         raise ValueError("missing must be 'null' or 'next'")
     last = 1 if missing == "null" else spec.slots
-    values = ["temperature", "windspeed", "weather_code"]
-    first = (
-        scale_weather(weather)
-        .filter(F.col("slot").between(1, last))
-        .groupBy("date")
-        .agg(F.min_by(F.struct(*values), F.col("slot")).alias("first"))
-        .select("date", "first.*")
-    )
+    first = earliest_reading(scale_weather(weather).filter(F.col("slot").between(1, last)))
     onehot = weather_onehot(F.col("weather_code"))
     return first.select(
         "date", others_vector(F.col("temperature"), F.col("windspeed"), onehot).alias("others")

@@ -98,6 +98,16 @@ def test_day_others_policies(spark):
     assert set(later) == {1, 2} and later[1][:2] == [2.0, 0.5] and later[1][18] == 1.0
 
 
+def test_null_and_repeated_readings_follow_one_rule(spark, flow_rows):
+    flow = flow_rows(day("20240101", [1, 2, 3]))
+    weather = weather_of(spark, [("20240101", 1, None, 2.0, 2), ("20240101", 2, 30.0, 3.0, 3), ("20240101", 2, 20.0, 9.0, 4)])
+    for missing, slot, temperature in (("null", 1, None), ("next", 2, 20.0)):
+        row = align.first_slot_attributes(flow, weather, missing).collect()
+        assert [(r["first_slot"], r["temperature"]) for r in row] == [(slot, temperature)]
+        others = [r["others"][0] for r in day_others(weather, GridSpec(), missing).collect()]
+        assert others == ([] if temperature is None else [temperature / 10])
+
+
 def test_raw_days_by_day_and_by_cell(spark, flow_rows):
     """Every day keeps its own values and every cell too."""
     spec = GridSpec(2, 2, 720)
