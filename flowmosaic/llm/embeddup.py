@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,10 @@ class DescentSettings:
     max_rounds: int = 8
     #: Share of the links of audited vectors that the graph must hold before the rounds end.
     recall: float = 0.98
-    #: Vectors audited against all others (bound of a broadcast).
+    #: Below this share of all links of audited vectors the run fails.
+    least_recall: float = 0.9
+    #: Vectors audited against all others: this share of them (broadcast), and so many at least.
+    audited_share: float = 1 / 1000
     audited: int = 512
     #: Vectors of one tile when the lists of a saturated group are enlarged to the whole group.
     tile: int = 512
@@ -53,20 +56,24 @@ def stacked(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), float)
 
 
-def top_pairs(nodes: np.ndarray, vectors: np.ndarray, keep: int) -> pd.DataFrame:
-    """The ``keep`` nearest others of each node inside one group, as (node, other, sim)."""
+def top_pairs(nodes: np.ndarray, vectors: np.ndarray, fences: np.ndarray, keep: int) -> pd.DataFrame:
+    """The ``keep`` nearest of each node behind other fences inside one group, as (node, other, sim)."""
     sims = vectors @ vectors.T
-    np.fill_diagonal(sims, -2)
+    sims[fences[:, None] == fences[None, :]] = -2
     keep = min(keep, len(nodes) - 1)
     if keep < 1:
         return pd.DataFrame({"node": nodes[:0], "other": nodes[:0], "sim": np.zeros(0)})
     best = np.argpartition(-sims, keep - 1, axis=1)[:, :keep]
     at = np.repeat(np.arange(len(nodes)), keep)
-    return pd.DataFrame({"node": nodes[at], "other": nodes[best.ravel()], "sim": sims[at, best.ravel()]})
+    pairs = pd.DataFrame({"node": nodes[at], "other": nodes[best.ravel()], "sim": sims[at, best.ravel()]})
+    return pairs[pairs["sim"] > -2]
 
 
 def start_graph(nodes: DataFrame, settings: DescentSettings) -> DataFrame:
-    """Neighbours inside groups of vectors on the same side of random planes; large groups are dealt by hash."""
+    """Neighbours inside groups of vectors on the same side of random planes; large groups are dealt by hash.
+
+    nodes(node, label, vec, fence): only nodes with different fences become neighbours.
+    """
     n = nodes.count()
     bits = max(0, int(np.log2(max(1, n / settings.start_block))))
     parts = []
@@ -92,8 +99,8 @@ def start_graph(nodes: DataFrame, settings: DescentSettings) -> DataFrame:
         dealt = placed.join(sizes, groups).withColumn("_part", F.pmod(F.xxhash64(F.lit(seed), "node"), F.col("_parts")))
         keep = settings.neighbours
         parts.append(
-            dealt.select("node", "vec", *groups, "_part").groupBy(*groups, "_part")
-            .applyInPandas(lambda g: top_pairs(g["node"].to_numpy(), stacked(g["vec"]), keep), "node bigint, other bigint, sim double")
+            dealt.select("node", "vec", "fence", *groups, "_part").groupBy(*groups, "_part")
+            .applyInPandas(lambda g: top_pairs(g["node"].to_numpy(), stacked(g["vec"]), g["fence"].to_numpy(), keep), "node bigint, other bigint, sim double")
         )
     out = parts[0]
     for part in parts[1:]:
@@ -111,11 +118,12 @@ def best_of(pairs: DataFrame, keep: int) -> DataFrame:
     )
 
 
-def refine(graph: DataFrame, nodes: DataFrame, settings: DescentSettings) -> DataFrame:
+def refine(graph: DataFrame, nodes: DataFrame, settings: DescentSettings, beside: DataFrame | None = None) -> DataFrame:
     """One round: whoever stand in each other's neighbourhood (either direction) are compared.
 
     A neighbourhood takes part with its forward list and, of those pointing at it, as many again, drawn
-    by hash; the others meet in later rounds.
+    by hash; the others meet in later rounds. ``beside`` (node, other) adds known neighbours that stand
+    behind the same fence: they introduce others but enter no list.
     """
     forward = graph.select("node", F.explode("near").alias("n")).select("node", F.col("n.other").alias("other"))
     draw = F.xxhash64(F.lit(settings.seed), "node", "other")
@@ -123,22 +131,24 @@ def refine(graph: DataFrame, nodes: DataFrame, settings: DescentSettings) -> Dat
         forward.withColumn("_r", F.row_number().over(Window.partitionBy("other").orderBy(draw)))
         .filter(F.col("_r") <= settings.neighbours).select(F.col("other").alias("node"), F.col("node").alias("other"))
     )
-    own = graph.select("node", F.col("node").alias("other"))
-    around = forward.unionByName(backward).unionByName(own).distinct()
+    own = nodes.select("node", F.col("node").alias("other"))
+    around = forward.unionByName(backward).unionByName(own)
+    around = (around.unionByName(beside) if beside else around).distinct()
     floor = graph.select(F.col("node").alias("other"), F.when(F.size("near") >= settings.neighbours, F.array_min("near")["sim"]).otherwise(-2.0).alias("floor"))
-    shipped = around.join(nodes.select(F.col("node").alias("other"), "vec").join(floor, "other"), "other")
-    blocks = F.pmod(F.xxhash64("node"), F.lit(max(1, graph.count() // 1000)))
+    known = nodes.select(F.col("node").alias("other"), "vec", "fence").join(floor, "other", "left").fillna(-2.0, ["floor"])
+    shipped = around.join(known, "other")
+    blocks = F.pmod(F.xxhash64("node"), F.lit(max(1, nodes.count() // 1000)))
     keep = settings.neighbours
 
     def local(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node", kind="stable")
         centres, others = group["node"].to_numpy(), group["other"].to_numpy()
-        vectors, floors = stacked(group["vec"]), group["floor"].to_numpy()
+        vectors, floors, fences = stacked(group["vec"]), group["floor"].to_numpy(), group["fence"].to_numpy()
         bounds = np.flatnonzero(np.r_[True, centres[1:] != centres[:-1], True])
         found = []
         for a, b in zip(bounds[:-1], bounds[1:]):
             sims = vectors[a:b] @ vectors[a:b].T
-            np.fill_diagonal(sims, -2)
+            sims[fences[a:b, None] == fences[None, a:b]] = -2
             i, j = np.nonzero(sims > floors[a:b, None])
             found.append((others[a:b][i], others[a:b][j], sims[i, j]))
         pairs = pd.DataFrame({c: np.concatenate([f[k] for f in found]) for k, c in enumerate(("node", "other", "sim"))})
@@ -152,7 +162,8 @@ def refine(graph: DataFrame, nodes: DataFrame, settings: DescentSettings) -> Dat
 
 def true_links(nodes: DataFrame, settings: DescentSettings) -> DataFrame:
     """(node, other) links of the audited vectors, found by comparing them with every vector."""
-    chosen = nodes.orderBy(F.xxhash64(F.lit(settings.seed), "node")).limit(settings.audited).toPandas()
+    many = max(settings.audited, int(nodes.count() * settings.audited_share))
+    chosen = nodes.select("node", "label", "vec").orderBy(F.xxhash64(F.lit(settings.seed), "node")).limit(many).toPandas()
     asked = nodes.sparkSession.sparkContext.broadcast(chosen)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,19 +175,27 @@ def true_links(nodes: DataFrame, settings: DescentSettings) -> DataFrame:
                 mine, theirs = np.flatnonzero((sizes == size) & (labels == label)), np.flatnonzero((widths == size) & (kinds == label))
                 if not len(theirs):
                     continue
-                sims = stacked(probes["vec"].iloc[theirs]) @ stacked(rows["vec"].iloc[mine]).T
-                i, j = np.nonzero(sims >= settings.threshold)
-                a, b = probes["node"].to_numpy()[theirs[i]], rows["node"].to_numpy()[mine[j]]
-                yield pd.DataFrame({"node": a[a != b], "other": b[a != b]})
+                here = stacked(rows["vec"].iloc[mine]).T
+                for start in range(0, len(theirs), settings.tile):
+                    part = theirs[start : start + settings.tile]
+                    i, j = np.nonzero(stacked(probes["vec"].iloc[part]) @ here >= settings.threshold)
+                    a, b = probes["node"].to_numpy()[part[i]], rows["node"].to_numpy()[mine[j]]
+                    yield pd.DataFrame({"node": a[a != b], "other": b[a != b]})
 
     return nodes.select("node", "label", "vec").mapInPandas(search, "node bigint, other bigint")
 
 
-def audit(graph: DataFrame, truth: DataFrame, settings: DescentSettings) -> float:
-    """Share of the audited vectors' links that the graph holds in either direction, or 1 without links.
+def links_of(graph: DataFrame, settings: DescentSettings) -> DataFrame:
+    """(a, b) with a < b: the links in the lists, each once."""
+    near = graph.select("node", F.explode("near").alias("n")).filter(F.col("n.sim") >= settings.threshold).select("node", F.col("n.other").alias("other"))
+    return near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def audit(graph: DataFrame, truth: DataFrame, settings: DescentSettings) -> float | None:
+    """Share of the audited vectors' links that the graph holds in either direction, or None without links.
 
     A vector counts at most as many links as its list can hold; the lists of saturated vectors are
-    completed later.
+    completed later, and audited in full then.
     """
     held = graph.select("node", F.explode("near").alias("n")).filter(F.col("n.sim") >= settings.threshold)
     both = held.select("node", F.col("n.other").alias("other")).unionByName(held.select(F.col("n.other").alias("node"), F.col("node").alias("other"))).distinct()
@@ -184,20 +203,60 @@ def audit(graph: DataFrame, truth: DataFrame, settings: DescentSettings) -> floa
         F.least(F.count("*"), F.lit(settings.neighbours)).alias("all"), F.least(F.count("_held"), F.lit(settings.neighbours)).alias("held")
     )
     row = hit.agg(F.sum("all"), F.sum("held")).first()
-    return 1.0 if not row[0] else row[1] / row[0]
+    return row[1] / row[0] if row[0] else None
 
 
-def neighbour_graph(nodes: DataFrame, settings: DescentSettings) -> tuple[DataFrame, float]:
-    """Descend until the audited recall is reached; returns the graph and that recall."""
-    truth = materialize(true_links(nodes, settings), "truth")
+def neighbour_graph(nodes: DataFrame, truth: DataFrame, settings: DescentSettings) -> DataFrame:
+    """Descend until the audited recall is reached or, if no audited vector has a link, a round finds no new one."""
     graph = materialize(best_of(start_graph(nodes, settings), settings.neighbours), "graph")
-    recall = 0.0
+    before = -1
     for turn in range(settings.max_rounds):
         graph = materialize(refine(graph, nodes, settings), "graph")
         recall = audit(graph, truth, settings)
-        if turn + 1 >= settings.min_rounds and recall >= settings.recall:
+        if recall is None:
+            found = links_of(graph, settings).count()
+            good, before = found == before, found
+        else:
+            good = recall >= settings.recall
+        if turn + 1 >= settings.min_rounds and good:
             break
-    return graph, recall
+    return graph
+
+
+def saturated(graph: DataFrame, settings: DescentSettings) -> DataFrame:
+    """(node) whose list is full of links, so it may have more."""
+    return graph.filter((F.size("near") >= settings.neighbours) & (F.array_min("near")["sim"] >= settings.threshold)).select("node")
+
+
+def bridged(graph: DataFrame, nodes: DataFrame, settings: DescentSettings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links, their components, and the saturated nodes; links between components of saturated nodes are searched for.
+
+    A list full of the node's own group hides whatever lies beyond it. So saturated nodes descend again
+    with lists that take in only nodes of other components, starting from new planes. One link is
+    enough to join two components (``group_degrees`` finds the others); joined ones are searched again,
+    until a descent finds no link.
+    """
+    links = materialize(links_of(graph, settings), "links")
+    full = materialize(saturated(graph, settings), "full")
+    any_full = not full.isEmpty()
+    members = materialize(nodes.drop("fence").join(full, "node", "left_semi"), "members") if any_full else None
+    edges = graph.join(full, "node", "left_semi").select("node", F.explode("near").alias("n")).select("node", F.col("n.other").alias("other"))
+    beside = materialize(edges.join(full.select(F.col("node").alias("other")), "other", "left_semi").select("node", "other"), "beside") if any_full else None
+    turn = 0
+    while True:
+        classes = materialize(connected_components(links), "classes")
+        if not any_full or classes.join(full, "node", "left_semi").select("component").distinct().limit(2).count() < 2:
+            return links, classes, full
+        turn += 1
+        again = replace(settings, seed=settings.seed + turn * settings.starts)
+        fenced = materialize(members.join(classes.withColumnRenamed("component", "fence"), "node"), "fenced")
+        far = materialize(best_of(start_graph(fenced, again), settings.neighbours), "far")
+        for _ in range(settings.min_rounds):
+            far = materialize(refine(far, fenced, again, beside), "far")
+        found = materialize(links_of(far, settings), "found")
+        if found.isEmpty():
+            return links, classes, full
+        links = materialize(links.unionByName(found).distinct(), "links")
 
 
 def group_degrees(members: DataFrame, settings: DescentSettings) -> DataFrame:
@@ -234,16 +293,13 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
     """
     units = materialize(unit_vectors(rows, key, vector, label), "units")
     nodes = materialize(
-        units.groupBy("node").agg(F.first("label").alias("label"), F.first("vec").alias("vec"), F.count("*").alias("weight"), F.min(key).alias("least")), "nodes"
-    )
-    graph, _ = neighbour_graph(nodes, settings)
-    flat = graph.select("node", F.explode("near").alias("n")).filter(F.col("n.sim") >= settings.threshold).select("node", F.col("n.other").alias("other"))
-    links = materialize(flat.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "links")
-    classes = materialize(connected_components(links), "classes")
-    full = (
-        graph.filter((F.size("near") >= settings.neighbours) & (F.array_min("near")["sim"] >= settings.threshold))
-        .join(classes, "node").select("component").distinct()
+        units.groupBy("node").agg(F.first("label").alias("label"), F.first("vec").alias("vec"), F.count("*").alias("weight"), F.min(key).alias("least"))
+        .withColumn("fence", F.col("node")), "nodes"
     )
+    truth = materialize(true_links(nodes, settings), "truth")
+    graph = neighbour_graph(nodes, truth, settings)
+    links, classes, saturated_nodes = bridged(graph, nodes, settings)
+    full = classes.join(saturated_nodes, "node", "left_semi").select("component").distinct()
     members = classes.join(full, "component", "left_semi").join(nodes, "node").select("component", "node", "weight", "vec")
     dense = group_degrees(members, settings)
     weights = nodes.select(F.col("node").alias("other"), "weight")
@@ -253,6 +309,11 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
         nodes.select("node", "weight", "least").join(classes, "node", "left").join(dense, "node", "left").join(sparse, "node", "left")
         .select("node", "least", F.coalesce("component", "node").alias("_class"), (F.col("weight") - 1 + F.coalesce("links", "some", F.lit(0))).alias("n_links"))
     )
+    named = materialize(named, "named")
+    counted = truth.join(weights, "other").groupBy("node").agg(F.sum("weight").alias("true"))
+    short = counted.join(named, "node").join(nodes.select("node", "weight"), "node").agg(F.sum("true"), F.sum(F.col("n_links") - F.col("weight") + 1)).first()
+    if short[0] and short[1] < settings.least_recall * short[0]:
+        raise RuntimeError(f"only {short[1]} of {short[0]} links of the audited vectors were found")
     least = named.groupBy("_class").agg(F.min("least").alias("component_id"))
     found = named.join(least, "_class").select("node", "n_links", "component_id")
     linked = units.select(key, "node").join(found, "node").select(key, "n_links", "component_id")

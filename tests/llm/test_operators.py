@@ -111,6 +111,20 @@ def test_embeddings(spark):
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in range(402, 408))
 
 
+def test_links_between_saturated_groups_are_found(spark):
+    """Three tight groups in a row, each large enough to fill every list with its own members."""
+    rng = np.random.default_rng(5)
+    axes, other = np.linalg.qr(rng.standard_normal((32, 2)))[0].T, rng.standard_normal((500, 32))
+    step = np.arccos(0.985)
+    centres = [np.cos(k * step) * axes[0] + np.sin(k * step) * axes[1] for k in range(3)]
+    near = np.concatenate([c + 0.0005 * rng.standard_normal((30, 32)) for c in centres])
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(np.concatenate([near, other]))]
+    got = {r["vec_id"]: r for r in embeddup.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()}
+    assert {got[i]["component_id"] for i in range(90)} == {0} and sum(got[i]["kept"] for i in range(90)) == 1
+    assert [got[i]["n_links"] for i in range(90)] == [59] * 30 + [89] * 30 + [59] * 30
+    assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in range(90, 590))
+
+
 def test_toxicity(spark, odd, none):
     rng = random.Random(0)
     words = [f"w{i}" for i in range(60)]
