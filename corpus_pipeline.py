@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowmosaic.llm.common import fold, materialize, table
 from flowmosaic.llm.linededup import drop_repeated_lines
-from flowmosaic.llm.mixing import mix
+from flowmosaic.llm.mixing import mix, row_key
 from flowmosaic.llm.pieces import encode
 from flowmosaic.llm.simhash import near_duplicates
 from flowmosaic.llm.toxicity import fit_toxicity, score_toxicity
@@ -27,15 +27,20 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays, the one with the smallest id.
+    """One row of each SimHash group stays, the one with the smallest id (a null id counts as largest).
 
-    Documents without words are told apart from near copies: they stay. Rows that repeat an id tie and
-    the repeats stay.
+    Documents without words are a group like any other: they are equal texts. Rows that repeat an id are
+    told apart by their contents; of rows equal in everything one stays.
     """
-    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    classes = near_duplicates(docs.filter(worded).select("doc_id", "text"))
-    later = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti")
+    row = row_key(docs)
+    named = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row.alias("row")).alias("_id"), "text")
+    classes = materialize(near_duplicates(named, "_id").select("_id", "component_id"), "classes")
+    later = classes.filter("_id <> component_id").select(F.col("_id.row").alias("_row")).distinct()
+    first = classes.filter("_id = component_id").select(F.col("_id.row").alias("_row"))
+    repeated = first.groupBy("_row").count().filter("count > 1").select("_row")
+    left = docs.withColumn("_row", row).join(later, "_row", "left_anti")
+    once, many = left.join(repeated, "_row", "left_anti"), left.join(repeated, "_row", "left_semi").dropDuplicates(["_row"])
+    return once.unionByName(many).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

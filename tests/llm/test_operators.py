@@ -285,6 +285,16 @@ def test_relational_and_in_task_lattices_agree(spark):
     assert got == {w: pieces.viterbi(w, table) for w in words}
 
 
+def test_one_row_of_every_group_stays(spark):
+    body = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, body, "a"), (1, body, "a"), (1, body, "b"), (2, body, "a"), (3, "", "a"), (4, " \n", "a"), (5, None, "b"), (6, "other words", "a"), (6, "quite different", "a"), (None, body, "c"), (None, "no id", "c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    left = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert left.columns == docs.columns
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in left.collect())
+    assert got == [(0, "no id"), (1, body), (3, ""), (6, "other words"), (6, "quite different")]
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and {"doc_id", "ids", "n_pieces"} <= set(out.columns)
