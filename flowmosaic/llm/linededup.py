@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowmosaic.llm.common import connected_components, materialize
 
 EDITS = 2
-#: Shorter lines are left alone: at a few characters any two are near.
+#: Shorter lines are copies only if they are equal: at a few characters any two are near.
 MIN_CHARS = 24
 #: A line's place is document and line number in one decimal: doc_id * LINES + line number.
 LINES = 1 << 31
@@ -267,16 +267,17 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row per line of ``min_chars`` or more, in every document.
+    """One row per line that has a word or ``min_chars`` characters, in every document.
 
     (key, line_no, class_doc_id, class_line_no, n_copies, n_links, kept): the class is named by the first
-    place (by key, then line number from 0) among all lines reachable over links of ``edits`` or less;
+    place (by key, then line number from 0) among all lines reachable over links of ``edits`` or less.
+    Lines under ``min_chars`` are in a class with equal lines only;
     ``n_copies`` counts the line itself wherever it stands, ``n_links`` the different lines linked
     directly; ``kept`` marks the first place. Null texts have no lines. A null key counts as largest.
     Rows that repeat a key and its text tie: their lines are at the same places and stay together.
     """
-    lines = lines_of(docs, key, text, min_chars)
-    links = materialize(near_lines(lines, edits), "linked")
+    lines = lines_of(docs, key, text, 1).filter((F.length("line") >= min_chars) | F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
+    links = materialize(near_lines(lines_of(docs, key, text, min_chars), edits), "linked")
     classes = connected_components(links).withColumnRenamed("node", "first")
     degree = links.select(F.explode(F.array("a", "b")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links"))
     # equal lines have equal pairs of 64-bit hashes
@@ -296,7 +297,7 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """All rows and columns, with every line removed that is not the first of its class.
 
-    Shorter lines stay. A document that loses all its lines stays with an empty text; null texts stay
+    Lines without a word and under ``min_chars`` stay. A document that loses all its lines stays with an empty text; null texts stay
     null. Rows with a null key share their dropped line numbers with each other.
     """
     gone = (

@@ -209,6 +209,15 @@ def test_lines_are_dropped(spark, odd, none):
     assert out.count() == odd.count() and out.columns == odd.columns and linededup.drop_repeated_lines(none).count() == 0
 
 
+def test_short_lines_are_compared_for_equality(spark):
+    docs = spark.createDataFrame([(1, "Les.\nLet.\n \n"), (2, "Les.\nonce"), (3, "Les.\n ")], "doc_id bigint, text string")
+    got = {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"], r["n_copies"], r["n_links"], r["kept"]) for r in linededup.line_classes(docs).collect()}
+    assert got == {
+        (1, 0): (1, 0, 3, 0, True), (1, 1): (1, 1, 1, 0, True), (2, 0): (1, 0, 3, 0, False), (2, 1): (2, 1, 1, 0, True), (3, 0): (1, 0, 3, 0, False),
+    }
+    assert {r["doc_id"]: r["text"] for r in linededup.drop_repeated_lines(docs).collect()} == {1: "Les.\nLet.\n \n", 2: "once", 3: " "}
+
+
 def test_shards(odd, none):
     keys = np.random.default_rng(0).integers(0, 2**64, 5000, np.uint64)
     for n in (1, 2, 7, 8):
