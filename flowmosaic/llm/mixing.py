@@ -106,13 +106,14 @@ def fly_and_land(chances: np.ndarray, sizes: np.ndarray, draws: np.ndarray) -> n
     return landing(chances, sizes)
 
 
-def flying(turn: int, last: bool):
-    """The work of one block: flight, and landing in the last round. Draws depend on row and round only."""
+def flying(turn: int):
+    """The work of one block: flight, and landing if it is all of its source. Draws depend on row and round only."""
 
     def fly(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["size", "_row"], ascending=[False, True], kind="stable")
         sizes = group["size"].to_numpy(float)
         draws = np.array([int(r[:8], 16) ^ (turn * 0x9E3779B1 & 0xFFFFFFFF) for r in group["_row"]]) / 2**32
+        last = group["_blocks"].iloc[0] == 1
         group["_chance"] = (fly_and_land if last else flight)(group["_chance"].to_numpy(float), sizes, draws)
         return group[["_row", "_source", "size", "_chance"]]
 
@@ -124,26 +125,26 @@ def balance(rows: DataFrame) -> DataFrame:
 
     Rows: _row string (unique), _source, size, _chance. Each round deals a source's undecided rows by
     hash to blocks, whatever its size, and every block leaves two at most, so the number falls by a
-    factor of about half a block per round until one block per source is left, which lands.
+    factor of about half a block per round until one block of the source is left, which lands in that
+    round, whatever other sources still have to do.
     """
     decided, open_, turn = [], rows, 0
     while True:
         counts = open_.groupBy("_source").agg(F.count("*").alias("_rows"))
         most = counts.agg(F.max("_rows")).first()[0] or 0
-        last = most <= BLOCK_ROWS
         blocks = counts.select(F.col("_source").alias("_s"), F.ceil(F.col("_rows") / BLOCK_ROWS).alias("_blocks"))
         dealt = open_.join(blocks, F.col("_source").eqNullSafe(F.col("_s"))).withColumn(
             "_block", F.pmod(F.xxhash64(F.lit(turn), "_row"), F.col("_blocks"))
         )
 
         moved = materialize(
-            dealt.select("_row", "_source", "size", "_chance", "_block").groupBy("_source", "_block")
-            .applyInPandas(flying(turn, last), "_row string, _source string, size bigint, _chance double"),
+            dealt.select("_row", "_source", "size", "_chance", "_block", "_blocks").groupBy("_source", "_block")
+            .applyInPandas(flying(turn), "_row string, _source string, size bigint, _chance double"),
             "flight",
         )
         done = F.col("_chance").isin(0.0, 1.0)
         decided.append(moved.filter(done))
-        if last:
+        if most <= BLOCK_ROWS:
             break
         open_, turn = moved.filter(~done), turn + 1
     out = decided[0]

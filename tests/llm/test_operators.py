@@ -162,6 +162,17 @@ def test_flight_keeps_totals():
     assert set(out) <= {0.0, 1.0} and abs(out.sum() - chances.sum()) <= 1.5 and abs(out @ sizes - chances @ sizes) < 50
 
 
+def test_a_small_source_lands_the_same_beside_a_large_one(spark):
+    rng = np.random.default_rng(6)
+    rows = [(f"{xxhash.xxh64_hexdigest(f's{i}')}", "small", int(n), 0.37) for i, n in enumerate([20_020, *rng.integers(1, 900, 499)])]
+    hot = [(f"{xxhash.xxh64_hexdigest(f'h{i}')}", "hot", int(n), 0.61) for i, n in enumerate(rng.integers(1, 900, 9000))]
+    frame = lambda x: spark.createDataFrame(x, "_row string, _source string, size bigint, _chance double")
+    alone, both = ({r["_row"]: r["_more"] for r in mixing.balance(frame(x)).collect()} for x in (rows, rows + hot))
+    assert len(both) == len(rows) + len(hot) and alone == {row: both[row] for row in alone}
+    want = sum(size * chance for _, _, size, chance in hot)
+    assert abs(sum(size * both[row] for row, _, size, _ in hot) - want) < 0.01 * want
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
