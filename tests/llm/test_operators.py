@@ -44,6 +44,17 @@ def test_quality(odd, none):
     assert quality.js_distance(np.array([1.0, 0]), np.array([0, 1.0])) == 1 and quality.js_distance(np.ones(3), np.ones(3)) == 0
 
 
+def test_a_rare_language_is_judged_by_its_own_texts(spark):
+    rng = random.Random(8)
+    latin, greek = [[f"{a}{b}{c}" for a in s for b in s for c in s[:3]] for s in ("abcdefgh", "αβγδεζηθ")]
+    text = lambda words: " ".join(rng.choice(words[:70]) for _ in range(150))
+    rows = [(i, text(latin), "en") for i in range(7000)] + [(7000 + i, text(greek), "el") for i in range(24)] + [(7100, text(greek), "tiny")]
+    got = {r["doc_id"]: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    rare = [got[7000 + i] for i in range(24)]
+    assert len(got) == len(rows) and all(r["kept"] and r["class_distance"] < 0.1 for r in rare)
+    assert got[7100]["class_distance"] is None and got[7100]["word_distance"] is None and got[7100]["kept"]
+
+
 def test_words_in_chunks_are_the_same():
     from flowmosaic.llm.common import word_chunks
 
