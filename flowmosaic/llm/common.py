@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowmosaic.session import shared_dir
@@ -24,14 +24,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(frame: DataFrame, purpose: str) -> DataFrame:
+def materialize(frame: DataFrame, purpose: str, rows_per_file: int = 0) -> DataFrame:
     """Write to the shared checkpoint folder and read again: cuts the lineage, survives lost executors."""
     spark = frame.sparkSession
     path = shared_dir(spark, purpose)
-    frame.write.parquet(path)
+    frame.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def numbered(frame: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """``frame`` with ``_pos``, the place from 0 of each row among those of its ``key``, in ``order`` (nulls first).
+
+    One range shuffle and counts per partition; no key has to fit a task. ``frame`` is read twice and should
+    be a written table. Rows equal in ``order`` are placed in any order.
+    """
+    cut = frame.repartitionByRange(key, *order).sortWithinPartitions(key, *order).withColumn("_at", F.monotonically_increasing_id())
+    kept = materialize(cut.withColumn("_part", F.shiftright("_at", 33)), "numbered")
+    sizes = kept.groupBy(key, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(key, "_part", (F.col("_first") - F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_shift"))
+    return kept.join(starts, [key, "_part"]).withColumn("_pos", F.col("_at") - F.col("_shift")).drop("_at", "_part", "_shift")
+
+
 def fold(key: Column, modulus: int) -> Column:
     """crc32 of the key's text modulo ``modulus``; a null key counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus

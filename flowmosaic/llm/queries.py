@@ -11,6 +11,7 @@ from flowmosaic.llm.langid import fit_language_model, identify
 from flowmosaic.llm.langmodel import fit as fit_model
 from flowmosaic.llm.langmodel import score as score_model
 from flowmosaic.llm.linededup import line_classes
+from flowmosaic.llm.manifest import MANIFEST_SQL, manifest
 from flowmosaic.llm.mixing import mix_digest
 from flowmosaic.llm.pieces import decode, encode
 from flowmosaic.llm.quality import quality_rules
@@ -95,3 +96,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     back = decode(encode(docs))
     return back.select("doc_id", "n_pieces", "ids", F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_merkle_manifest"] = MANIFEST_SQL
