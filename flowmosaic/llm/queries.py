@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowmosaic.llm.collocations import COLLOCATIONS_SQL, collocations
 from flowmosaic.llm.common import fold, table
 from flowmosaic.llm.embeddup import near_vectors
 from flowmosaic.llm.langid import fit_language_model, identify
@@ -104,3 +105,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_merkle_manifest"] = MANIFEST_SQL
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+ORACLES["op13_collocations"] = COLLOCATIONS_SQL
