@@ -18,6 +18,7 @@ from flowmosaic.llm.pieces import decode, encode
 from flowmosaic.llm.quality import quality_rules
 from flowmosaic.llm.sharding import shard_digest
 from flowmosaic.llm.simhash import near_duplicates
+from flowmosaic.llm.suffixes import repeated_passages
 from flowmosaic.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict = {}
@@ -113,3 +114,8 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_collocations"] = COLLOCATIONS_SQL
+
+
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
