@@ -30,6 +30,8 @@ TOP = 2000
 CHUNK_WORDS = 2_000_000
 #: Bytes of a long text that become words at a time, to the next punctuation mark.
 SLICE_BYTES = 1 << 20
+#: Words of the chunks that one task pairs up; Spark hands it all of them in one Arrow batch.
+PART_WORDS = 2_500_000
 #: A tile is 2^10 by 2^10 ids; it is counted densely if its pairs are at least 1/64 of its cells.
 TILE_BITS = 10
 DENSE_SHARE = 64
@@ -185,11 +187,11 @@ def ranked(counted: DataFrame) -> DataFrame:
     return materialize(numbered(with_order, "lang", ["_less", "phrase"]).withColumnRenamed("_pos", "id").drop("_less"), "ranked")
 
 
-def with_ranks(chunks: DataFrame, keys: list[str], level: DataFrame) -> DataFrame:
-    """Chunks with the ids of those of their entries that are frequent."""
+def with_ranks(chunks: DataFrame, keys: list[str], level: DataFrame, parts: int) -> DataFrame:
+    """Chunks with the ids of those of their entries that are frequent, dealt to ``parts`` tasks."""
     back = entries_of(chunks, keys).drop("n").join(level.select("lang", *keys, "id"), ["lang", *keys])
     mine = back.groupBy("chunk").agg(F.collect_list(F.struct("local", "id")).alias("entries"))
-    return chunks.filter(F.col("ids").isNotNull()).select("chunk", "lang", "ids").join(mine, "chunk")
+    return chunks.filter(F.col("ids").isNotNull()).select("chunk", "lang", "ids").repartition(parts, "chunk").join(mine, "chunk")
 
 
 def phrase_levels(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -202,13 +204,14 @@ def phrase_levels(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
     chunks = materialize(plain.mapInArrow(cut_words, CHUNKS + "keys array<string>, n array<bigint>"), "chunks", ROWS_PER_FILE)
     totals = materialize(chunks.groupBy("lang").agg(F.sum("words").alias("words")), "totals")
     counts = entries_of(chunks, ["keys"]).groupBy("lang", "keys").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    parts = max(1, (totals.agg(F.sum("words")).first()[0] or 0) // PART_WORDS)
     none = F.lit(None).cast("bigint")
     words = ranked(counts.select("lang", "keys", "f", F.col("keys").alias("phrase"), none.alias("a"), none.alias("b")))
     levels = [words.withColumn("pre", F.array("f")).withColumn("suf", F.array("f"))]
     keys = ["keys"]
     for _ in range(longest - 1):
         below = levels[-1]
-        chunks = with_ranks(chunks, keys, below).mapInArrow(pair_up, CHUNKS + "a array<bigint>, b array<bigint>, n array<bigint>")
+        chunks = with_ranks(chunks, keys, below, parts).mapInArrow(pair_up, CHUNKS + "a array<bigint>, b array<bigint>, n array<bigint>")
         chunks, keys = materialize(chunks, "chunks", ROWS_PER_FILE), ["a", "b"]
         counts = entries_of(chunks, keys).groupBy("lang", "a", "b").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
         head = below.select("lang", F.col("id").alias("a"), F.col("phrase").alias("_p"), F.col("pre").alias("_pre"))
