@@ -5,8 +5,9 @@ into square tiles, well-filled tiles are counted with a dense ``bincount`` over
 as sorted coordinates. Spark adds the chunks' counts up. Frequent pairs are ranked and become the ids of
 the next round, in which two overlapping pairs make a phrase of one word more.
 
-A chunk carries its own small vocabulary: counts go out by (pair), ids come back by (chunk, local number),
-so no table of all words or pairs has to fit a task.
+A chunk carries its own small vocabulary: an entry goes out under its word or pair, meets those of the other
+chunks (one row per chunk, however often it occurs), and comes back with its id under its chunk. No table of
+all words or pairs has to fit a task.
 """
 
 from __future__ import annotations
@@ -17,26 +18,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowmosaic.llm.common import materialize, numbered, texts_of
+from flowmosaic.llm.common import materialize, texts_of
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
 #: Words of a chunk; a piece without punctuation is not cut.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 4_000_000
 #: Bytes of a long text that become words at a time, to the next punctuation mark.
 SLICE_BYTES = 1 << 20
 #: Words of the chunks that one task pairs up; Spark hands it all of them in one Arrow batch.
-PART_WORDS = 2_500_000
+PART_WORDS = 4_000_000
 #: A tile is 2^10 by 2^10 ids; it is counted densely if its pairs are at least 1/64 of its cells.
 TILE_BITS = 10
 DENSE_SHARE = 64
 #: Vocabulary entries in one row of a chunk table.
 ENTRIES = 50_000
+#: Documents turned into Python objects at a time.
+DOCS = 256
+#: Ids of one range of frequencies; the number of the range stands above these bits.
+RANK_BITS = 40
+#: Groups in which the best phrases of a language are chosen first.
+TOP_GROUPS = 64
 ROWS_PER_FILE = 64
 BREAK = re.compile(rb"[.,;:!?\x0a-\x0d]")
 #: ASCII letters to lower case; punctuation and line ends to a byte that no UTF-8 text holds.
@@ -89,14 +97,17 @@ def cut_words(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_WORDS) -> It
         held = 0
 
     for batch in batches:
-        for lang, raw in zip(batch.column("lang").to_pylist(), texts_of(batch)):
-            for piece in slices(raw or b""):
-                words = word_list(piece)
-                buffers.setdefault(lang, Buffer()).add(words)
-                held += len(words)
-                if held >= limit:
-                    yield from flush()
+        for at in range(0, batch.num_rows, DOCS):
+            some = batch.slice(at, DOCS)
+            for lang, raw in zip(some.column("lang").to_pylist(), texts_of(some)):
+                for piece in slices(raw or b""):
+                    words = word_list(piece)
+                    buffers.setdefault(lang, Buffer()).add(words)
+                    held += len(words)
+                    if held >= limit:
+                        yield from flush()
     yield from flush()
+    pa.default_memory_pool().release_unused()
 
 
 def chunk_row(chunk: int, lang: str, ids: np.ndarray | None, words: int, base: int, keys: dict[str, pa.Array], n: np.ndarray) -> pa.RecordBatch:
@@ -124,22 +135,24 @@ def tile_counts(a: np.ndarray, b: np.ndarray, bits: int = TILE_BITS) -> tuple[np
     local = np.empty(len(a), np.int64)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     mask, cells, found = (1 << bits) - 1, 1 << 2 * bits, 0
-    wide = int(max(a.max(), b.max()) >> bits) + 1 if len(a) else 1
-    tile = (a >> bits) * wide + (b >> bits)
-    names, filled = np.unique(tile, return_counts=True)
-    dense = names[filled * DENSE_SHARE >= cells]
+    rows, row = np.unique(a >> bits, return_inverse=True)
+    cols, col = np.unique(b >> bits, return_inverse=True)
+    wide = max(len(cols), 1)
+    tile = row * wide + col
     order = np.argsort(tile, kind="stable")
-    starts, stops = np.searchsorted(tile[order], dense, "left"), np.searchsorted(tile[order], dense, "right")
+    tile = tile[order]
+    edges = np.r_[0, np.flatnonzero(tile[1:] != tile[:-1]) + 1, len(tile)] if len(tile) else np.zeros(1, np.int64)
+    dense = np.flatnonzero(np.diff(edges) * DENSE_SHARE >= cells)
     rest = np.ones(len(a), bool)
-    for name, start, stop in zip(dense, starts, stops):
-        at = order[start:stop]
+    for start, stop in zip(edges[dense], edges[dense + 1]):
+        at, name = order[start:stop], tile[start]
         cell = (a[at] & mask) << bits | (b[at] & mask)
         counts = np.bincount(cell, minlength=cells)
         hit = np.flatnonzero(counts)
         place = np.empty(cells, np.int64)
         place[hit] = np.arange(found, found + len(hit))
         local[at], rest[at], found = place[cell], False, found + len(hit)
-        out.append(((name // wide << bits) + (hit >> bits), (name % wide << bits) + (hit & mask), counts[hit]))
+        out.append(((rows[name // wide] << bits) + (hit >> bits), (cols[name % wide] << bits) + (hit & mask), counts[hit]))
     at = np.flatnonzero(rest)
     firsts, of_a = np.unique(a[at], return_inverse=True)
     seconds, of_b = np.unique(b[at], return_inverse=True)
@@ -181,16 +194,40 @@ def entries_of(chunks: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def ranked(counted: DataFrame) -> DataFrame:
-    """``id`` by falling frequency within the language."""
-    with_order = materialize(counted.withColumn("_less", -F.col("f")), "frequent")
-    return materialize(numbered(with_order, "lang", ["_less", "phrase"]).withColumnRenamed("_pos", "id").drop("_less"), "ranked")
+def with_ids(entries: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """(lang, keys.., chunk, local, f, id) of the entries whose key occurs ``least`` times in its language.
 
-
-def with_ranks(chunks: DataFrame, keys: list[str], level: DataFrame, parts: int) -> DataFrame:
+    Ids rise as frequencies fall: keys are sorted over ranges of frequencies, an id is the number of its
+    range and the place of its key there, so ids are dense within a range.
+    """
+    every = Window.partitionBy("lang", *keys)
+    often = entries.withColumn("f", F.sum("n").over(every)).filter(F.col("f") >= least).drop("n").withColumn("_less", -F.col("f"))
+    order = ["lang", "_less", *keys]
+    cut = materialize(often, "often").repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, made = None, (TaskContext.get().partitionId() << RANK_BITS) - 1
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            for key in ["lang", *keys]:
+                column = batch.column(key)
+                new[1:] |= pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+            first = [batch.column(key)[0].as_py() for key in ["lang", *keys]]
+            new[0] = first != last
+            ids = made + np.cumsum(new)
+            last, made = [batch.column(key)[batch.num_rows - 1].as_py() for key in ["lang", *keys]], int(ids[-1])
+            kept = [c for c in batch.schema.names if c != "_less"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(ids, pa.int64())], names=[*kept, "id"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema.fields if f.name != "_less")
+    return materialize(cut.mapInArrow(number, fields + ", id bigint"), "ranked")
+
+
+def with_ranks(chunks: DataFrame, ranks: DataFrame, parts: int) -> DataFrame:
     """Chunks with the ids of those of their entries that are frequent, dealt to ``parts`` tasks."""
-    back = entries_of(chunks, keys).drop("n").join(level.select("lang", *keys, "id"), ["lang", *keys])
-    mine = back.groupBy("chunk").agg(F.collect_list(F.struct("local", "id")).alias("entries"))
+    mine = ranks.groupBy("chunk").agg(F.collect_list(F.struct("local", "id")).alias("entries"))
     return chunks.filter(F.col("ids").isNotNull()).select("chunk", "lang", "ids").repartition(parts, "chunk").join(mine, "chunk")
 
 
@@ -203,24 +240,25 @@ def phrase_levels(docs: DataFrame, least: int, longest: int) -> tuple[DataFrame,
     plain = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
     chunks = materialize(plain.mapInArrow(cut_words, CHUNKS + "keys array<string>, n array<bigint>"), "chunks", ROWS_PER_FILE)
     totals = materialize(chunks.groupBy("lang").agg(F.sum("words").alias("words")), "totals")
-    counts = entries_of(chunks, ["keys"]).groupBy("lang", "keys").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     parts = max(1, (totals.agg(F.sum("words")).first()[0] or 0) // PART_WORDS)
+    ranks = with_ids(entries_of(chunks, ["keys"]), ["keys"], least)
+    words = ranks.groupBy("lang", "id").agg(F.first("f").alias("f"), F.first("keys").alias("phrase"))
     none = F.lit(None).cast("bigint")
-    words = ranked(counts.select("lang", "keys", "f", F.col("keys").alias("phrase"), none.alias("a"), none.alias("b")))
-    levels = [words.withColumn("pre", F.array("f")).withColumn("suf", F.array("f"))]
-    keys = ["keys"]
+    words = words.withColumn("a", none).withColumn("b", none).withColumn("pre", F.array("f")).withColumn("suf", F.array("f"))
+    levels = [materialize(words, "level")]
     for _ in range(longest - 1):
         below = levels[-1]
-        chunks = with_ranks(chunks, keys, below, parts).mapInArrow(pair_up, CHUNKS + "a array<bigint>, b array<bigint>, n array<bigint>")
-        chunks, keys = materialize(chunks, "chunks", ROWS_PER_FILE), ["a", "b"]
-        counts = entries_of(chunks, keys).groupBy("lang", "a", "b").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+        chunks = with_ranks(chunks, ranks, parts).mapInArrow(pair_up, CHUNKS + "a array<bigint>, b array<bigint>, n array<bigint>")
+        chunks = materialize(chunks, "chunks", ROWS_PER_FILE)
+        ranks = with_ids(entries_of(chunks, ["a", "b"]), ["a", "b"], least)
+        pairs = ranks.groupBy("lang", "id").agg(*[F.first(c).alias(c) for c in ("f", "a", "b")])
         head = below.select("lang", F.col("id").alias("a"), F.col("phrase").alias("_p"), F.col("pre").alias("_pre"))
         tail = below.select("lang", F.col("id").alias("b"), F.element_at(F.split("phrase", " "), -1).alias("_w"), F.col("suf").alias("_suf"))
-        joined = counts.join(head, ["lang", "a"]).join(tail, ["lang", "b"]).select(
-            "lang", "a", "b", "f", F.concat_ws(" ", "_p", "_w").alias("phrase"),
+        phrases = pairs.join(head, ["lang", "a"]).join(tail, ["lang", "b"]).select(
+            "lang", "id", "a", "b", "f", F.concat_ws(" ", "_p", "_w").alias("phrase"),
             F.concat("_pre", F.array("f")).alias("pre"), F.concat("_suf", F.array("f")).alias("suf"),
         )
-        levels.append(ranked(joined))
+        levels.append(materialize(phrases, "level"))
     return totals, levels
 
 
@@ -255,8 +293,11 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
         best = level.withColumn("_best", F.array_min(F.array(*cuts)))
         rows = best.select("lang", "phrase", "a", "_best.l", "_best.r", F.col("words").alias("n"), "_best.score")
         found = rows if found is None else found.unionByName(rows)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    out = found.withColumn("rank", F.row_number().over(order).cast("bigint")).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    group = F.pmod(F.xxhash64("phrase"), F.lit(TOP_GROUPS))
+    found = found.withColumn("_group", group).withColumn("_in", F.row_number().over(Window.partitionBy("lang", "_group").orderBy(*order)))
+    order = Window.partitionBy("lang").orderBy(*order)
+    out = found.filter(F.col("_in") <= top).withColumn("rank", F.row_number().over(order).cast("bigint")).filter(F.col("rank") <= top)
     return out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
