@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowmosaic.functions.scoring import threshold
+from flowmosaic.operators.features import MAX_COVARIANCE_WIDTH
 from flowmosaic.operators.metrics import confusion_counts, metric_report
+from flowmosaic.operators.wide import reduce_wide
 
 # Classifier kinds by their number; anything above 4 is a forest.
 KINDS = {1: "linear", 2: "logistic_l2", 3: "logistic_lbfgs", 4: "svm", 5: "forest"}
@@ -118,9 +120,18 @@ def train_model(
     pca_k: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """Train, predict, evaluate: one metric row plus the two sizes."""
-    model = fit_classifier(train, kind, iterations, pca_k, seed)
-    pairs = predict(model, test)
+    """Train, predict, evaluate: one metric row plus the two sizes.
+
+    Components of vectors too wide for a covariance matrix are fitted without one.
+    """
+    first = train.select("features").first()
+    if pca_k is not None and first is not None and first["features"].size > MAX_COVARIANCE_WIDTH:
+        near, far = reduce_wide(train, test, pca_k)
+        model = fit_cached(Pipeline(stages=[estimator(kind, iterations, "features", seed)]), near.withColumnRenamed("components", "features"))
+        pairs = predict(model, far.withColumnRenamed("components", "features"))
+    else:
+        model = fit_classifier(train, kind, iterations, pca_k, seed)
+        pairs = predict(model, test)
     n_train = train.agg(F.count(F.lit(1))).scalar()
     return metric_report(pairs).select(
         F.lit(KINDS[min(kind, 5)]).alias("model"),

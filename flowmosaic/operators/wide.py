@@ -12,12 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowmosaic.operators.features import MAX_COVARIANCE_WIDTH, covariance_matrix
+from flowmosaic.operators.features import MAX_COVARIANCE_WIDTH, covariance_matrix, fit_scaler
 from flowmosaic.session import shared_dir
 
 #: Columns of one block.
@@ -204,3 +204,20 @@ def project_wide(points: DataFrame, key: str, fitted: WideComponents, features:
     parts = pairs.select(key, F.transform(F.sequence(F.lit(0), F.lit(fitted.k - 1)), product).alias("_p"))
     sums = parts.groupBy(key).agg(*[F.sum(F.col("_p")[c]).alias(f"_c{c}") for c in range(fitted.k)])
     return sums.select(key, F.array(*[F.col(f"_c{c}") for c in range(fitted.k)]).alias(output))
+
+
+def reduce_wide(train: DataFrame, test: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(label, components) of both parts; scaler and components are fitted on the train part only."""
+    scaler, spark = fit_scaler(train), train.sparkSession
+    parts = []
+    for part in (train, test):
+        path = shared_dir(spark, "scaled")
+        scaled = scaler.transform(part).select("label", "scaled").withColumn("_row", F.monotonically_increasing_id())
+        scaled.write.parquet(path)  # the row numbers must stay as they are
+        parts.append(spark.read.schema(scaled.schema).parquet(path))
+    fitted = fit_wide_pca(parts[0], "_row", k)
+    return tuple(
+        part.select("_row", "label").join(project_wide(part, "_row", fitted), "_row")
+        .select("label", array_to_vector("components").alias("components"))
+        for part in parts
+    )
