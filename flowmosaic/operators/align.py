@@ -1,8 +1,8 @@
-"""Key-based joins where positions were matched before."""
+"""Key-based joins where positions were matched before, and pairing by position where only files are given."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -61,3 +61,29 @@ def first_slot_attributes(flow: DataFrame, weather: DataFrame, missing: str = "n
 def zip_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Pair two row sets that describe the same items, by key instead of by position."""
     return left.join(right, key)
+
+
+def with_position(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """(position, columns..) of a Parquet table: files in order of their names, rows as they stand in them.
+
+    A file knows the number of each of its rows; what comes before it is a running sum over one row per file.
+    """
+    rows = spark.read.parquet(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"), *columns
+    )
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))  # one row per file
+    starts = sizes.select("_file", F.coalesce(before, F.lit(0)).alias("_start"))
+    return rows.join(starts, "_file").withColumn("position", F.col("_start") + F.col("_at")).select("position", *columns)
+
+
+def zip_by_position(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of two tables with equal ``position``; the longer one's rest is kept, with nulls beside it."""
+    return left.withColumn("_left", F.lit(True)).join(right.withColumn("_right", F.lit(True)), "position", "full").withColumn(
+        "paired", F.col("_left").isNotNull() & F.col("_right").isNotNull()
+    ).drop("_left", "_right")
+
+
+def zip_lengths(zipped: DataFrame) -> DataFrame:
+    """One row: pairs and rows that found none."""
+    return zipped.agg(F.count_if("paired").alias("n_paired"), F.count_if(~F.col("paired")).alias("n_unpaired"))

@@ -6,7 +6,9 @@ given to these operators must identify rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -143,6 +145,31 @@ def bootstrap_batches(
     return picks.join(rows, list(keys))
 
 
+def poisson_thresholds(mean: float) -> list[float]:
+    """P(X <= 0), P(X <= 1), .. of a Poisson count, until nothing of 52 bits is left."""
+    if not 0 < mean <= 30:
+        raise ValueError("the mean number of copies must be above 0 and at most 30")
+    term, total, out = math.exp(-mean), 0.0, []
+    while total + term < 1 - 2.0**-52 and len(out) < 200:
+        total += term
+        out.append(total)
+        term *= mean / len(out)
+    return out
+
+
+def bootstrap_poisson(rows: DataFrame, keys: Sequence[str], replicate: int | Column = 0, mean: float = 1.0, seed: int = 0) -> DataFrame:
+    """``rows`` with ``copies``, how often each is drawn; rows drawn never are left out.
+
+    An approximate bootstrap: each row's count is Poisson on its own, so there are no ranks, no join and no
+    shuffle, and the total is n times ``mean`` within a few times its square root.
+    """
+    number = replicate if isinstance(replicate, Column) else F.lit(replicate)
+    u = keyed_fine_uniform(seed, "poisson", number, *[F.col(k) for k in keys])
+    drawn = rows.withColumn("_u", u)
+    copies = reduce(lambda a, b: a + b, [(F.col("_u") >= F.lit(t)).cast("int") for t in poisson_thresholds(mean)])
+    return drawn.withColumn("copies", copies).drop("_u").filter("copies > 0")
+
+
 # -- protocols over day tensors ------------------------------------------------------------------
 
 EXAMPLE_COLUMNS = ("source_date", "flow", "others", "label", "limit", "batch")
