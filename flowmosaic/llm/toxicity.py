@@ -144,11 +144,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     Positives are documents with ``labels.toxic`` = 1; unlabelled text is drawn from all documents
     whatever their label, so it holds positives in their natural share, the class prior, which is
     estimated on the labelled rows. Both samples are bounded and chosen by hashes of the key. Without
-    positives every score is the prior.
+    positives every score is the prior. Of contradicting labels of one key the toxic one counts.
     """
     flags = labels.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max("toxic").alias("_toxic"))
-    joined = docs.select(key, text).join(flags, key, "left")
-    sums = joined.agg(F.sum((F.col("_toxic") == 1).cast("int")), F.count("_toxic"), F.count("*")).first()
+    known_ids = docs.select(key).join(flags, key, "left")  # ids only: texts are not shuffled
+    sums = known_ids.agg(F.sum((F.col("_toxic") == 1).cast("int")), F.count("_toxic"), F.count("*")).first()
     positives, labelled, total = sums[0] or 0, sums[1] or 0, sums[2]
     prior = min(0.5, max(1e-4, positives / labelled)) if labelled else settings.prior
 
@@ -156,9 +156,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         share = min(1.0, wanted / max(1, there))
         return keyed_hash(F.col(key), seed) <= F.lit(2**63 - 1 if share >= 1 else int(-(2**63) + share * (2**64 - 1)))
 
-    toxic = F.coalesce(F.col("_toxic") == 1, F.lit(False)) & drawn(settings.seed, settings.positives, positives)
-    sample = joined.select(
-        keyed_hash(F.col(key), settings.seed + 1).alias("draw"), toxic.alias("toxic"),
+    # about ``positives`` ids at most, whatever the size of the tables
+    marked_ids = known_ids.filter("_toxic = 1").filter(drawn(settings.seed, settings.positives, positives)).select(key).distinct()
+    flagged = docs.select(key, text).join(F.broadcast(marked_ids.withColumn("_marked", F.lit(True))), key, "left")
+    sample = flagged.select(
+        keyed_hash(F.col(key), settings.seed + 1).alias("draw"), F.coalesce("_marked", F.lit(False)).alias("toxic"),
         drawn(settings.seed + 1, settings.unlabelled, total).alias("any"), text,
     ).filter("toxic OR any")
 
@@ -182,14 +184,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("draw", "toxic", "any")] + [pa.array(rows, pa.list_(pa.int32()))], names=["draw", "toxic", "any", "at"])
 
     # only places of words that enough documents have come to the driver
-    got = made.mapInArrow(placed, made.schema).toArrow()
-    got = got.take(pa.compute.sort_indices(got, [("draw", "ascending"), ("toxic", "ascending")]))
+    drawn_rows = made.mapInArrow(placed, made.schema).toArrow()
+    got = drawn_rows.take(pa.compute.sort_indices(drawn_rows, [("draw", "ascending"), ("toxic", "ascending")]))
+    del drawn_rows
     marked, plain = (np.array(got[c].to_pylist(), bool) for c in ("toxic", "any"))
     weights = np.zeros(settings.buckets + 1)
     weights[-1] = np.log(prior / (1 - prior))
     if not marked.any() or not plain.any():
         return weights
     lists = got["at"].combine_chunks()
+    del got
+    pa.default_memory_pool().release_unused()
     found, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
     inner = np.arange(len(kept), dtype=np.int32)
     for shrink in (settings.shrink, settings.refit_shrink):
@@ -204,24 +209,24 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     return weights
 
 
-def score_toxicity(docs: DataFrame, weights: np.ndarray, text: str = "text") -> DataFrame:
-    """All columns plus ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on), replaced if they exist.
+def score_toxicity(docs: DataFrame, weights: np.ndarray, text: str = "text", score: str = "score", predicted: str = "predicted") -> DataFrame:
+    """All columns plus ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on), replaced if columns of the names given exist.
 
     Null and empty texts get the score of the bias alone. Every text is read whole.
     """
     buckets = len(weights) - 1
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    plain = docs.drop("score", "predicted")
+    plain = docs.drop(score, predicted)
     kept = [f.name for f in plain.schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[bytes, tuple] = {}
         for batch in batches:
             sums = [shared.value[word_buckets(raw, buckets, memory)].sum() + shared.value[-1] for raw in texts_of(batch, text)]
-            score = sigmoid(np.array(sums, float))
+            chance = sigmoid(np.array(sums, float))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + [pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=kept + ["score", "predicted"]
+                [batch.column(c) for c in kept] + [pa.array(chance), pa.array((chance >= 0.5).astype(np.int32))], names=kept + [score, predicted]
             )
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema] + ["score double", "predicted int"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema] + [f"`{score}` double", f"`{predicted}` int"])
     return plain.mapInArrow(run, schema)
