@@ -14,11 +14,17 @@ from flowmosaic.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.5; the classifier learns from the labels outside the test fold."""
+    """Documents that score below 0.5; the classifier learns from the labels outside the test fold.
+
+    Null and empty texts have the score of the bias alone, equal texts the same one; repeated ids are judged
+    row by row. Columns of the documents keep their values, whatever their names.
+    """
     learned = fold(F.col("doc_id"), 5) != 0
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(learned)
     weights = fit_toxicity(docs.select("doc_id", "text").filter(learned), labels)
-    return score_toxicity(docs, weights).filter("predicted = 0").select(*docs.columns)
+    names = {c.lower() for c in docs.columns}
+    score, predicted = (next(n for n in (f"_{word}{'_' * i}" for i in range(len(names) + 1)) if n not in names) for word in ("score", "predicted"))
+    return score_toxicity(docs, weights, score=score, predicted=predicted).filter(F.col(predicted) == 0).select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
