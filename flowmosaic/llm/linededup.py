@@ -12,8 +12,14 @@ from flowmosaic.llm.common import connected_components, materialize
 EDITS = 2
 #: Shorter lines are copies only if they are equal: at a few characters any two are near.
 MIN_CHARS = 24
-#: A line's place is document and line number in one decimal: doc_id * LINES + line number.
-LINES = 1 << 31
+#: A line's place in one decimal: doc_id * LINES + 31 bits of the text's hash * LINE + line number.
+LINE = 1 << 31
+LINES = LINE * LINE
+#: Places of rows without an id lie from here on and hold 64 bits of hash.
+NO_ID = 1 << 125
+#: A common line makes up at least 1 / COMMON of all; its rows are dealt to ``SALTS`` tasks.
+COMMON = 1 << 15
+SALTS = 64
 #: Words of the bitmap that picks candidate lines.
 BITMAP = 1 << 17
 #: Letters whose counts tell most different lines apart before their distance is computed.
@@ -21,15 +27,37 @@ LETTERS = "etaoinsr"
 
 
 def lines_of(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """(_key, line_no, line) of every line of ``min_chars`` or more."""
-    lines = docs.select(F.col(key).alias("_key"), F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
-    return lines.filter(F.length("line") >= min_chars)
+    """(_key, _row, line_no, line) of every line of ``min_chars`` or more; ``_row`` is the hash of the whole text."""
+    split = docs.select(F.col(f"`{key}`").alias("_key"), F.xxhash64(F.col(f"`{text}`")).alias("_row"), F.split(F.col(f"`{text}`"), "\n").alias("_lines"))
+    return split.select("_key", "_row", F.posexplode("_lines").alias("line_no", "line")).filter(F.length("line") >= min_chars)
 
 
-def place(key: str, at: str) -> Column:
-    """Total order of places; a null key comes after all others."""
-    big = F.coalesce(F.col(key).cast("bigint"), F.lit(2**63 - 1)).cast("decimal(38,0)")
-    return (big * F.lit(LINES).cast("decimal(11,0)") + F.col(at)).cast("decimal(38,0)")
+def exact(value: int | Column) -> Column:
+    return (value if isinstance(value, Column) else F.lit(str(value))).cast("decimal(38,0)")
+
+
+def place(key: str, row: str, at: str) -> Column:
+    """Total order of places: by id (nulls after all others), hash of the text, line number."""
+    key, row, at = F.col(key), F.col(row), F.col(at).cast("bigint")
+    inside = row.bitwiseAND(F.lit(LINE - 1)) * F.lit(LINE) + at
+    unnamed = exact(NO_ID) + exact((exact(row) + exact(1 << 63)) * exact(LINE)) + exact(at)
+    return F.when(key.isNull(), exact(unnamed)).otherwise(exact(exact(exact(key) * exact(LINES)) + exact(inside)))
+
+
+def id_and_line(at: Column) -> tuple[Column, Column]:
+    """Id (null if there is none) and line number of a place."""
+    whole = F.call_function("div", at - F.pmod(at, exact(LINES)), exact(LINES))
+    return F.when(at < exact(NO_ID), whole).cast("bigint"), F.pmod(at, exact(LINE)).cast("int")
+
+
+def line_hashes(line: Column) -> tuple[Column, Column]:
+    """Two 64-bit hashes; equal lines have equal pairs."""
+    return F.xxhash64(line), F.xxhash64(F.lit(1), line)
+
+
+def line_name(first: Column, second: Column) -> Column:
+    """126 bits of both hashes of a line in one number."""
+    return exact(exact(exact(first) * exact(1 << 62)) + exact(second.bitwiseAND(F.lit((1 << 62) - 1))))
 
 
 def segment_start(length: Column, part: int, parts: int) -> Column:
@@ -165,15 +193,15 @@ def index_and_probes(lines: DataFrame, edits: int) -> tuple[DataFrame, DataFrame
 
 
 def lines_with_partners(lines: DataFrame, edits: int) -> DataFrame:
-    """(name) of the lines that share a key with another line of like parity; each comes once, however many it meets."""
-    named = lines.select("line", F.length("line").alias("len"), F.xxhash64("line").alias("name"), "bits")
+    """(name) of the lines that share a key with another line; each comes once, however many it meets."""
+    named = lines.select("line", F.length("line").alias("len"), F.xxhash64("line").alias("name"))
 
     def keyed(keys: Callable[[Column, Column, int], Column]) -> DataFrame:
-        return named.select("name", "bits", F.explode(keys(F.col("line"), F.col("len"), edits)).alias("key"))
+        return named.select("name", F.explode(keys(F.col("line"), F.col("len"), edits)).alias("key"))
 
     # no renaming in between: both joins then read the same two shuffles
     indexed, probes = keyed(index_keys).alias("i"), keyed(probe_keys).alias("p")
-    meet = (F.col("i.key") == F.col("p.key")) & (F.col("i.name") != F.col("p.name")) & (differing("i.bits", "p.bits") <= 5 * edits)
+    meet = (F.col("i.key") == F.col("p.key")) & (F.col("i.name") != F.col("p.name"))
     asking, asked = probes.join(indexed, meet, "left_semi"), indexed.join(probes, meet, "left_semi")
     return asking.select("name").unionByName(asked.select("name")).distinct()
 
@@ -240,20 +268,22 @@ def trimmed(pairs: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Links (a, b) between the first places of different lines at ``edits`` or less, each once, a < b.
+    """Links between different lines at ``edits`` or less, each once: (a, b), their first places, a <= b, and both hashes
+    of either line, (a_h, a_i) and (b_h, b_i).
 
-    lines(_key, line_no, line), repeats included. A first pass finds which lines have a partner at all, one row
-    each; only they get a sharper signature and meet in pairs. Texts travel for the pairs left then.
+    lines(_key, _row, line_no, line), repeats included. A first pass finds which lines share a segment with another
+    at all, one row each; only they get a signature and meet in pairs. Texts travel for the pairs left then.
     """
-    distinct = lines.select("line", pair_parity(F.col("line")).alias("bits")).distinct()
-    names = materialize(lines_with_partners(distinct, edits), "names")
-    firsts = only_named(lines, names).groupBy("name", "line").agg(F.min(place("_key", "line_no")).alias("first"))
+    names = materialize(lines_with_partners(lines.select("line").distinct(), edits), "names")
+    firsts = only_named(lines, names).groupBy("name", "line").agg(F.min(place("_key", "_row", "line_no")).alias("first"))
     asked = materialize(
         firsts.withColumn("bits", pair_parity(F.col("line"))).withColumn("_c", character_parity(F.col("line"))).select("*", "_c.*").drop("_c"), "asked"
     )
     pairs = materialize(candidate_pairs(asked, edits), "pairs")
-    left = asked.select(F.col("name").alias("x"), F.col("first").alias("_a"), F.col("line").alias("_left"))
-    right = asked.select(F.col("name").alias("y"), F.col("first").alias("_b"), F.col("line").alias("_right"))
+    first, second = line_hashes(F.col("line"))
+    end = F.struct(F.col("first").alias("place"), first.alias("h"), second.alias("i"))
+    left = asked.select(F.col("name").alias("x"), end.alias("_a"), F.col("line").alias("_left"))
+    right = asked.select(F.col("name").alias("y"), end.alias("_b"), F.col("line").alias("_right"))
     both = pairs.join(left, "x").join(right, "y").filter(
         (F.abs(F.length("_left") - F.length("_right")) <= edits) & (letters_apart(F.col("_left"), F.col("_right")) <= 2 * edits)
     )
@@ -263,34 +293,65 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     if edits <= 2:  # both ends of a middle differ, so two edits are spent there and what lies between stands in the other
         distance = distance.when(~F.contains("_right", F.expr("substring(_left, 2, length(_left) - 2)")), edits + 1)
     distance = distance.otherwise(edits_within(F.col("_left"), F.col("_right"), edits))
-    return both.filter(distance <= edits).select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
+    linked = both.filter(distance <= edits).select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
+    return linked.select(
+        F.col("_a.place").alias("a"), F.col("_b.place").alias("b"),
+        F.col("_a.h").alias("a_h"), F.col("_a.i").alias("a_i"), F.col("_b.h").alias("b_h"), F.col("_b.i").alias("b_i"),
+    )
+
+
+def linked_lines(links: DataFrame) -> DataFrame:
+    """(_h, _i, _class, n_links) of every linked line: first place of its class, and the lines linked to it directly.
+
+    Lines are known by their hashes: rows that share an id may have different lines at equal places.
+    """
+    classes = connected_components(links.select(line_name(F.col("a_h"), F.col("a_i")).alias("a"), line_name(F.col("b_h"), F.col("b_i")).alias("b")))
+    ends = F.explode(F.array(*[F.struct(F.col(c).alias("first"), F.col(f"{c}_h").alias("_h"), F.col(f"{c}_i").alias("_i")) for c in "ab"]))
+    lines = links.select(ends.alias("_end")).select("_end.*").groupBy("_h", "_i").agg(F.min("first").alias("first"), F.count("*").alias("n_links"))
+    placed = lines.withColumn("node", line_name(F.col("_h"), F.col("_i"))).join(classes, "node")
+    least = placed.groupBy("component").agg(F.min("first").alias("_class"))
+    return placed.join(least, "component").select("_h", "_i", "_class", "n_links")
+
+
+def classed_lines(docs: DataFrame, key: str, text: str, edits: int, min_chars: int) -> DataFrame:
+    """(_key, _row, line_no, _class, n_copies, n_links, kept) of every line that has a word or ``min_chars`` characters."""
+    lines = lines_of(docs, key, text, 1).filter((F.length("line") >= min_chars) | F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
+    links = materialize(near_lines(lines_of(docs, key, text, min_chars), edits), "linked")
+    first, second = line_hashes(F.col("line"))
+    marked = lines.select("_key", "_row", "line_no", first.alias("_h"), second.alias("_i"))
+    counted = marked.groupBy("_h", "_i").agg(F.min(place("_key", "_row", "line_no")).alias("first"), F.count("*").alias("n_copies"))
+    body = F.col(f"`{text}`")
+    ends = docs.agg(F.sum(F.length(body) - F.length(F.replace(body, F.lit("\n"))) + 1)).first()[0] or 0
+    # no more than COMMON lines can be so common; each of them is dealt to SALTS tasks
+    common = F.col("n_copies") >= max(2, -(-ends // COMMON))
+    salts = F.when(common, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    named = counted.join(linked_lines(links), ["_h", "_i"], "left").select(
+        "_h", "_i", F.coalesce("_class", "first").alias("_class"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.explode(salts).alias("_salt")
+    )
+    hot = counted.filter(common).select("_h", "_i", F.col("first").isNotNull().alias("_hot"))
+    dealt = marked.join(F.broadcast(hot), ["_h", "_i"], "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_key", "_row", "line_no"), F.lit(SALTS)).cast("int")).otherwise(0)
+    )
+    return dealt.join(named, ["_h", "_i", "_salt"]).select(
+        "_key", "_row", "line_no", "_class", "n_copies", "n_links", (place("_key", "_row", "line_no") == F.col("_class")).alias("kept")
+    )
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per line that has a word or ``min_chars`` characters, in every document.
 
     (key, line_no, class_doc_id, class_line_no, n_copies, n_links, kept): the class is named by the first
-    place (by key, then line number from 0) among all lines reachable over links of ``edits`` or less.
+    place among all lines reachable over links of ``edits`` or less. Places are in the order of key, hash of the
+    text, line number from 0; a null key counts as largest and names its class null.
     Lines under ``min_chars`` are in a class with equal lines only;
     ``n_copies`` counts the line itself wherever it stands, ``n_links`` the different lines linked
-    directly; ``kept`` marks the first place. Null texts have no lines. A null key counts as largest.
-    Rows that repeat a key and its text tie: their lines are at the same places and stay together.
+    directly; ``kept`` marks the first place. Null texts have no lines. Keys are whole numbers.
+    Rows that share a key, or have none, are told apart by their texts; rows equal in key and text tie: their lines
+    are at the same places and stay together.
     """
-    lines = lines_of(docs, key, text, 1).filter((F.length("line") >= min_chars) | F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
-    links = materialize(near_lines(lines_of(docs, key, text, min_chars), edits), "linked")
-    classes = connected_components(links).withColumnRenamed("node", "first")
-    degree = links.select(F.explode(F.array("a", "b")).alias("first")).groupBy("first").agg(F.count("*").alias("n_links"))
-    # equal lines have equal pairs of 64-bit hashes
-    marked = lines.select("_key", "line_no", F.xxhash64("line").alias("_h"), F.xxhash64(F.lit(1), F.col("line")).alias("_i"))
-    counted = marked.groupBy("_h", "_i").agg(F.min(place("_key", "line_no")).alias("first"), F.count("*").alias("n_copies"))
-    named = counted.join(classes, "first", "left").join(degree, "first", "left").select(
-        "_h", "_i", F.coalesce("component", "first").alias("_class"), "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
-    whole = F.floor(F.col("_class") / F.lit(LINES)).cast("decimal(38,0)")
-    out = marked.join(named, ["_h", "_i"]).withColumn("kept", place("_key", "line_no") == F.col("_class"))
-    return out.select(
-        F.col("_key").alias(key), "line_no", whole.cast("bigint").alias("class_doc_id"),
-        (F.col("_class") - whole * F.lit(LINES)).cast("int").alias("class_line_no"), "n_copies", "n_links", "kept",
+    at_id, at_line = id_and_line(F.col("_class"))
+    return classed_lines(docs, key, text, edits, min_chars).select(
+        F.col("_key").alias(key), "line_no", at_id.alias("class_doc_id"), at_line.alias("class_line_no"), "n_copies", "n_links", "kept"
     )
 
 
@@ -298,16 +359,20 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     """All rows and columns, with every line removed that is not the first of its class.
 
     Lines without a word and under ``min_chars`` stay. A document that loses all its lines stays with an empty text; null texts stay
-    null. Rows with a null key share their dropped line numbers with each other.
+    null. Rows with a repeated or null key lose their own lines only; of rows equal in key and text each keeps the first lines.
     """
+    taken = {c.lower() for c in docs.columns}
+    names = [next(n for n in (f"_{word}{'_' * i}" for i in range(len(taken) + 1)) if n not in taken) for word in ("key", "row", "gone")]
+    key_name, row_name, gone_name = names
     gone = (
-        line_classes(docs, key, text, edits, min_chars).filter(~F.col("kept"))
-        .groupBy(F.col(key).alias("_key")).agg(F.collect_set("line_no").alias("_gone"))
-    )
-    lines = F.split(F.col(text), "\n")
-    left = F.filter(
-        F.transform(lines, lambda line, at: F.when(~F.array_contains("_gone", at), line)), lambda line: line.isNotNull()
+        classed_lines(docs, key, text, edits, min_chars).filter(~F.col("kept"))
+        .groupBy(F.col("_key").alias(key_name), F.col("_row").alias(row_name)).agg(F.sort_array(F.collect_set("line_no")).alias(gone_name))
     )
-    kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    joined = docs.join(gone, F.col(key).eqNullSafe(F.col("_key")), "left")
+    body, numbers = F.col(f"`{text}`"), F.col(gone_name)
+    # true at every dropped line, false in the gaps between them; what comes after the last one has no mark
+    gap = lambda number, at: number - F.when(at == 0, F.lit(-1)).otherwise(F.get(numbers, at - 1)) - 1
+    marks = F.flatten(F.transform(numbers, lambda number, at: F.concat(F.array_repeat(F.lit(False), gap(number, at)), F.array(F.lit(True)))))
+    left = F.filter(F.zip_with(F.split(body, "\n"), marks, lambda line, mark: F.when(~F.coalesce(mark, F.lit(False)), line)), lambda line: line.isNotNull())
+    kept = F.when(numbers.isNull(), body).otherwise(F.array_join(left, "\n"))
+    joined = docs.join(gone, F.col(f"`{key}`").eqNullSafe(F.col(key_name)) & (F.xxhash64(body) == F.col(row_name)), "left")
     return joined.select(*[kept.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -231,6 +231,30 @@ def test_lines_are_dropped(spark, odd, none):
     assert out.count() == odd.count() and out.columns == odd.columns and linededup.drop_repeated_lines(none).count() == 0
 
 
+def test_rows_of_one_id_keep_their_own_lines(spark):
+    a, b, c, d = ("the first line of all of them here", "another body with words of its own", "something that nobody else has said", "the first line of all of them hero")
+    rows = [(1, a), (5, a), (5, b), (None, a), (None, c), (-3, f"x\n{c} \n{b}?"), (7, d), (7, d), (2**63 - 1, "largest id of all, with its own line"), (-(2**63), "least id of all, with its own line")]
+    docs = spark.createDataFrame([(i, text, 7, "g") for i, text in rows], "doc_id bigint, text string, _key int, _gone string")
+    out = linededup.drop_repeated_lines(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r["doc_id"] is None, r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    left = [(1, a), (5, ""), (5, ""), (None, ""), (None, ""), (-3, f"x\n{c} \n{b}?"), (7, ""), (7, ""), *rows[8:]]
+    assert got == sorted(((i is None, i, text) for i, text in left), key=str)
+    classes = linededup.line_classes(docs).collect()
+    assert {(r["doc_id"], r["n_links"]) for r in classes if r["class_doc_id"] == 1} == {(1, 1), (5, 1), (None, 1), (7, 1)}
+    unique = docs.filter("doc_id is null or doc_id = 5")
+    assert {r["class_doc_id"] for r in linededup.line_classes(unique.filter("doc_id is null")).collect()} == {None}
+    assert sorted(r["text"] for r in linededup.drop_repeated_lines(unique).collect()) == sorted([a, b, c, ""])
+    near = spark.createDataFrame([(3, a), (3, b), (5, d)], "doc_id bigint, text string")
+    assert {(r["doc_id"], r["class_doc_id"], r["n_links"]) for r in linededup.line_classes(near).collect()} == {(3, 3, 1), (3, 3, 0), (5, 3, 1)}
+
+
+def test_very_many_lines(spark):
+    many = "\n".join(f"line number {i % 60_000} of a long document" for i in range(100_000))
+    got = linededup.drop_repeated_lines(spark.createDataFrame([(1, many)], "doc_id bigint, text string"), edits=0).first()["text"]
+    assert got.split("\n") == many.split("\n")[:60_000]
+
+
 def test_short_lines_are_compared_for_equality(spark):
     docs = spark.createDataFrame([(1, "Les.\nLet.\n \n"), (2, "Les.\nonce"), (3, "Les.\n ")], "doc_id bigint, text string")
     got = {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"], r["n_copies"], r["n_links"], r["kept"]) for r in linededup.line_classes(docs).collect()}
