@@ -20,8 +20,12 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words with at least 1 / FREQUENT of all are encoded relationally, once, and broadcast: there cannot be more of them.
 FREQUENT = 1 << 20
+#: Longer words are solved in the task that holds them: the relational fold copies its state at every edge.
+LONGEST_FREQUENT = 256
 #: A task's memory of words it has met.
-MEMORY = 200_000
+MEMORY = 100_000
+#: Rows of an Arrow batch that are Python objects at a time.
+ROWS = 64
 
 
 @dataclass(frozen=True)
@@ -162,8 +166,14 @@ def encode_words(words: DataFrame, table: PieceTable) -> DataFrame:
     return walked.select("word", F.flatten(spelled).alias("ids")).unionByName(special)
 
 
+def bodies_of(batch: pa.RecordBatch, text: str) -> Iterator[str | None]:
+    column = batch.column(text)
+    for start in range(0, len(column), ROWS):
+        yield from column.slice(start, ROWS).to_pylist()
+
+
 def frequent_words(docs: DataFrame, text: str) -> DataFrame:
-    """Lattice words that make up at least 1 / FREQUENT of all, counted over all rows."""
+    """Lattice words up to ``LONGEST_FREQUENT`` that make up at least 1 / FREQUENT of all, counted over all rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter: Counter = Counter()
@@ -175,52 +185,56 @@ def frequent_words(docs: DataFrame, text: str) -> DataFrame:
             counter.clear()
 
         for batch in batches:
-            for body in batch.column(text).to_pylist():
+            for body in bodies_of(batch, text):
                 if body:
                     counter.update(words_of(body))
-            if len(counter) > 400_000:
-                yield from flush()
+                    if len(counter) > 200_000:
+                        yield from flush()
         yield from flush()
 
-    counts = materialize(docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    counts = materialize(docs.select(F.col(f"`{text}`")).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return counts.filter(F.col("n") >= max(1, -(-total // FREQUENT))).select("word")
+    return counts.filter((F.col("n") >= max(1, -(-total // FREQUENT))) & (F.length("word") <= LONGEST_FREQUENT)).select("word")
 
 
 def encode(docs: DataFrame, text: str = "text", path: str = MODEL_PATH) -> DataFrame:
     """All columns plus ``ids`` and ``n_pieces`` (replaced if they exist).
 
     Pieces maximise the sum of the model's scores word by word. Frequent words are looked up in the
-    broadcast result of ``encode_words``; a word below the bound is solved over the same lattice in the
+    broadcast result of ``encode_words``; a rarer or very long word is solved over the same lattice in the
     task that holds it. Null texts have null ids and no pieces, empty texts have none.
     """
     table = load_pieces(path)
     known = encode_words(frequent_words(docs, text), table).toArrow()
-    found = dict(zip(known["word"].to_pylist(), (np.array(x, np.int32) for x in known["ids"].to_pylist())))
+    found = {word: np.array(ids, np.int32).tobytes() for word, ids in zip(known["word"].to_pylist(), known["ids"].to_pylist())}
     shared = docs.sparkSession.sparkContext.broadcast((table, found))
     plain = docs.drop("ids", "n_pieces")
     kept = [f.name for f in plain.schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, found = shared.value
-        memory: dict[str, np.ndarray] = {}
+        memory: dict[str, bytes] = {}
 
-        def look(word: str) -> np.ndarray:
+        def look(word: str) -> bytes:
             ids = found.get(word)
             if ids is None:
                 ids = memory.get(word)
                 if ids is None:
                     if len(memory) >= MEMORY:
                         memory.clear()
-                    ids = memory[word] = np.array(viterbi(word, table), np.int32)
+                    ids = memory[word] = np.array(viterbi(word, table), np.int32).tobytes()
             return ids
 
         for batch in batches:
-            rows = [None if body is None else np.concatenate([look(w) for w in words_of(body)]) if body else np.zeros(0, np.int32) for body in batch.column(text).to_pylist()]
-            sizes = np.array([0 if r is None else len(r) for r in rows], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + [pa.array(rows, pa.list_(pa.int32())), pa.array(sizes)], names=kept + ["ids", "n_pieces"]
-            )
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                rows = [None if body is None else b"".join(map(look, words_of(body))) if body else b"" for body in part.column(text).to_pylist()]
+                sizes = np.array([0 if row is None else len(row) // 4 for row in rows], np.int64)
+                ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+                places = pa.array(ends, mask=np.array([row is None for row in rows] + [False]))
+                flat = pa.array(np.frombuffer(b"".join(row for row in rows if row), np.int32))
+                lists = pa.ListArray.from_arrays(places, flat)
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [lists, pa.array(sizes)], names=kept + ["ids", "n_pieces"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema] + ["ids array<int>", "n_pieces bigint"])
     return plain.mapInArrow(run, schema)
@@ -237,12 +251,13 @@ def decode(docs: DataFrame, ids: str = "ids", column: str = "decoded", path: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(ids)
-            bodies = [
-                None if not row.is_valid else b"".join(shared.value[row.values.to_numpy()].tolist())[1:].decode()
-                for row in lists
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(bodies, pa.string())], names=kept + [column])
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                bodies = [
+                    None if not row.is_valid else b"".join(shared.value[row.values.to_numpy()].tolist())[1:].decode()
+                    for row in part.column(ids)
+                ]
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [pa.array(bodies, pa.string())], names=kept + [column])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema] + [f"`{column}` string"])
     return plain.mapInArrow(run, schema)

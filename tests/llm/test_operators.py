@@ -333,6 +333,13 @@ def test_pieces(odd, none):
         assert back.filter(~F.col("text").eqNullSafe(F.col("decoded"))).count() == 0 and back.count() == docs.count()
 
 
+def test_a_very_long_word_is_encoded(spark):
+    bodies = ["ab" * 60_000, "x" * 257, None, "x" * 255, ""]
+    back = pieces.decode(pieces.encode(spark.createDataFrame(list(enumerate(bodies)), "doc_id bigint, text string"))).orderBy("doc_id").collect()
+    assert [r["decoded"] for r in back] == bodies and [r["ids"] for r in back][2] is None and list(back[4]["ids"]) == []
+    assert [r["n_pieces"] for r in back] == [len(r["ids"] or ()) for r in back]
+
+
 def test_relational_and_in_task_lattices_agree(spark):
     table = pieces.load_pieces()
     words = sorted({w for text in ("the river of stones", "été über 日本x", "a\n▁b", "internationalisation") for w in pieces.words_of(text)})
