@@ -12,6 +12,8 @@ from flowmosaic.llm.common import connected_components, materialize
 EDITS = 2
 #: Shorter lines are copies only if they are equal: at a few characters any two are near.
 MIN_CHARS = 24
+#: Lines of more characters have words enough for the parity of word pairs to tell them apart.
+CHARACTERS = 128
 #: A line's place in one decimal: doc_id * LINES + 31 bits of the text's hash * LINE + line number.
 LINE = 1 << 31
 LINES = LINE * LINE
@@ -215,7 +217,8 @@ def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
     # lines of the same length find each other from either side: one is enough
     once = (F.col("name_x") < F.col("name_y")) | (~F.col("equal_y") & (F.col("name_x") != F.col("name_y")))
     words = differing("bits_x", "bits_y") <= 5 * edits
-    characters = differing("low_x", "low_y") + differing("high_x", "high_y") <= 4 * edits
+    # null where one of the two is too long to have this parity
+    characters = F.coalesce(differing("low_x", "low_y") + differing("high_x", "high_y") <= 4 * edits, F.lit(True))
     met = probes.join(indexed, (probes["key"] == indexed["key"]) & once & words & characters)
     return met.select(F.col("name_x").alias("x"), F.col("name_y").alias("y")).distinct()
 
@@ -277,7 +280,7 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     names = materialize(lines_with_partners(lines.select("line").distinct(), edits), "names")
     firsts = only_named(lines, names).groupBy("name", "line").agg(F.min(place("_key", "_row", "line_no")).alias("first"))
     asked = materialize(
-        firsts.withColumn("bits", pair_parity(F.col("line"))).withColumn("_c", character_parity(F.col("line"))).select("*", "_c.*").drop("_c"), "asked"
+        firsts.withColumn("bits", pair_parity(F.col("line"))).withColumn("_c", F.when(F.length("line") <= CHARACTERS, character_parity(F.col("line")))).select("*", "_c.*").drop("_c"), "asked"
     )
     pairs = materialize(candidate_pairs(asked, edits), "pairs")
     first, second = line_hashes(F.col("line"))
