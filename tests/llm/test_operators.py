@@ -222,15 +222,6 @@ def test_near_lines_against_brute_force(spark):
     assert got == true
 
 
-def test_near_lines_of_both_sides_of_the_parity_bound(spark):
-    rng = random.Random(3)
-    lines = ["".join(rng.choices("abcdefgh ", k=rng.randint(127, 130))).strip() + "q" for _ in range(12)]
-    lines += [line[: rng.randrange(100)] + "xy" + line[102:] for line in lines[:4]] + [line + "zz" for line in lines[4:8]] + [line[1:-1] for line in lines[8:]]
-    links = linededup.near_lines(linededup.lines_of(spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string"), "doc_id", "text", 24)).collect()
-    got = {(int(r["a"]) // linededup.LINES, int(r["b"]) // linededup.LINES) for r in links}
-    assert got == {(i, j) for j in range(len(lines)) for i in range(j) if edit_distance(lines[i], lines[j]) <= 2}
-
-
 def test_lines_are_dropped(spark, odd, none):
     same, near = "this line is long enough to count", "this line is long enough to cound"
     docs = spark.createDataFrame([(1, f"{same}\nx"), (2, f"{near}\nmore of it, and quite different words"), (3, same), (4, None), (5, "")], "doc_id bigint, text string")
