@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,18 +24,21 @@ LOG10 = float(np.log(10))
 @dataclass(frozen=True)
 class ModelSettings:
     hidden: int = 16
-    classes: int = 32
-    class_size: int = 32
-    #: Share of the training documents that the gates learn from; it grows with the corpus.
-    share: float = 1 / 64
-    #: Of a small corpus they see more, about so many documents.
-    documents: int = 2000
-    #: Passes over them; after each, the tasks' parameters are averaged.
-    rounds: int = 3
+    #: Classes and words of each; 0: both are ``growth`` times the sixth root of the training tokens, so
+    #: that the network's vocabulary grows as their cube root.
+    classes: int = 0
+    class_size: int = 0
+    growth: float = 1.55
+    #: Ends of the rounds as shares of the documents, by hash of the key: every training document is
+    #: learned from once. After each round the tasks' parameters are averaged.
+    rounds: tuple[float, ...] = (1 / 64, 1 / 16, 1 / 4, 1.0)
     #: Tokens back through which gradients flow, and documents side by side.
     window: int = 16
-    lanes: int = 64
+    lanes: int = 256
     rate: float = 0.02
+    #: Tokens that a task lays in lanes at a time, and parameters in a row that tasks hand on.
+    block: int = 1_000_000
+    slice: int = 4096
     #: Tokens a task scores at a time.
     buffer: int = 4_000_000
     seed: int = 9
@@ -47,6 +51,12 @@ def tokens_of(raw: bytes | None) -> Iterator[list[bytes]]:
     yield [END]
 
 
+def sized(s: ModelSettings, tokens: int) -> ModelSettings:
+    """Settings with the vocabulary that a corpus of so many tokens gets, where it is not fixed."""
+    side = max(4, round(s.growth * tokens ** (1 / 6)))
+    return replace(s, classes=s.classes or side, class_size=s.class_size or side)
+
+
 def shapes(s: ModelSettings) -> dict[str, tuple[int, ...]]:
     vocabulary = s.classes * s.class_size
     return {
@@ -113,10 +123,15 @@ def word_log_probs(p: dict, states: np.ndarray, ids: np.ndarray, s: ModelSetting
     return out
 
 
-def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray, state: np.ndarray, s: ModelSettings) -> tuple[dict, np.ndarray]:
-    """Gradient of the mean log loss over one window (time, lane), flowing back to its first token only."""
+def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray, state: np.ndarray, s: ModelSettings, opens: np.ndarray | None = None) -> tuple[dict, np.ndarray]:
+    """Gradient of the mean log loss over one window (time, lane), flowing back to its first token only.
+
+    ``opens`` marks the first tokens of documents: there the state is cleared and no gradient passes.
+    """
     h, trace, states = s.hidden, [], []
+    opens = np.zeros(inputs.shape, bool) if opens is None else opens
     for t in range(len(inputs)):
+        state = np.where(opens[t][:, None], np.float32(0), state)
         state, kept = step(p, inputs[t], state)
         trace.append(kept)
         states.append(state)
@@ -129,15 +144,19 @@ def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray
     slope *= scale[:, None]
     g["class_w"], g["class_b"] = flat.T @ slope, slope.sum(axis=0)
     into = slope @ p["class_w"].T
-    for c in np.unique(kind[on > 0]):
-        at = np.flatnonzero((kind == c) & (on > 0))
+    order = np.argsort(np.where(on > 0, kind, s.classes), kind="stable")
+    edges = np.searchsorted(np.where(on > 0, kind, s.classes)[order], np.arange(s.classes + 1))
+    for c in range(s.classes):
+        at = order[edges[c] : edges[c + 1]]
+        if not len(at):
+            continue
         slope = np.exp(log_softmax(flat[at] @ p["word_w"][c] + p["word_b"][c]))
         slope[np.arange(len(at)), inside[at]] -= 1
         slope *= scale[at, None]
         g["word_w"][c], g["word_b"][c] = flat[at].T @ slope, slope.sum(axis=0)
         into[at] += slope @ p["word_w"][c].T
     into = into.reshape(len(inputs), -1, h)
-    carry = np.zeros_like(state)
+    carry, gates = np.zeros_like(state), []
     for t in range(len(inputs) - 1, -1, -1):
         ids, before, update, reset, new, outer = trace[t]
         up = into[t] + carry
@@ -145,35 +164,55 @@ def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray
         to_update = up * (before - new) * update * (1 - update)
         to_reset = to_new * outer * reset * (1 - reset)
         into_gates = np.concatenate([to_update, to_reset, to_new], axis=1)
-        np.add.at(g["inputs"], ids, into_gates)
+        gates.append(into_gates)
         into_back = np.concatenate([to_update, to_reset, to_new * reset], axis=1)
         g["back"] += before.T @ into_back
-        carry = up * update + into_back @ p["back"].T
+        carry = np.where(opens[t][:, None], 0, up * update + into_back @ p["back"].T)
+    ids = inputs[::-1].ravel()
+    order = np.argsort(ids, kind="stable")
+    seen, first = np.unique(ids[order], return_index=True)
+    g["inputs"][seen] = np.add.reduceat(np.concatenate(gates)[order], first)
     return g, state
 
 
-def train_on(p: dict, documents: list[np.ndarray], s: ModelSettings, moments: tuple | None = None) -> tuple[dict, int]:
-    """Truncated back-propagation with Adam over documents laid in lanes; the state stays in its lane."""
+@dataclass
+class Adam:
+    """Moments of the gradient, carried over all windows of a task."""
+
+    first: dict
+    second: dict
+    turn: int = 0
+
+    def update(self, p: dict, g: dict, rate: float) -> None:
+        self.turn += 1
+        for k in p:
+            self.first[k] = 0.9 * self.first[k] + 0.1 * g[k]
+            self.second[k] = 0.99 * self.second[k] + 0.01 * g[k] ** 2
+            p[k] -= rate * (self.first[k] / (1 - 0.9**self.turn)) / (np.sqrt(self.second[k] / (1 - 0.99**self.turn)) + 1e-6)
+
+
+def train_on(p: dict, documents: list[np.ndarray], s: ModelSettings, adam: Adam, rate: float) -> int:
+    """Truncated back-propagation over documents laid end to end in lanes; returns the tokens learned from.
+
+    The state stays in its lane from window to window and is cleared where a document begins. The last
+    lane is filled up with positions that carry no gradient, so every token counts.
+    """
     stream = np.concatenate(documents)
-    first = np.concatenate([np.r_[True, np.zeros(len(d) - 1, bool)] for d in documents])
-    lanes = max(1, min(s.lanes, len(stream) // s.window))
-    length = len(stream) // lanes
+    opens = np.zeros(len(stream), bool)
+    opens[np.cumsum([0] + [len(d) for d in documents[:-1]])] = True
     start_id = s.classes * s.class_size
-    before = np.where(first, start_id, np.r_[start_id, stream[:-1]])
-    grid, previous, opens = (x[: lanes * length].reshape(lanes, length).T for x in (stream, before, first))
+    before = np.where(opens, start_id, np.r_[start_id, stream[:-1]])
+    lanes = max(1, min(s.lanes, len(stream) // (4 * s.window)))
+    length = -(-len(stream) // lanes)
+    fill = np.zeros(lanes * length - len(stream), np.int64)
+    live = np.r_[np.ones(len(stream), bool), fill.astype(bool)]
+    grid, previous, first, live = (x.reshape(lanes, length).T for x in (np.r_[stream, fill], np.r_[before, fill], np.r_[opens, fill.astype(bool)], live))
     state = np.zeros((lanes, s.hidden), np.float32)
-    m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    turns = max(1, -(-length // s.window))
-    for turn, at in enumerate(range(0, length, s.window), 1):
+    for at in range(0, length, s.window):
         part = slice(at, at + s.window)
-        state[opens[at]] = 0
-        g, state = gradients(p, previous[part], grid[part], np.ones_like(grid[part]), state, s)
-        rate = s.rate * (1 - (turn - 1) / turns)
-        for k in p:
-            m[k] = 0.9 * m[k] + 0.1 * g[k]
-            v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2
-            p[k] -= rate * (m[k] / (1 - 0.9**turn)) / (np.sqrt(v[k] / (1 - 0.99**turn)) + 1e-6)
-    return p, len(stream)
+        g, state = gradients(p, previous[part], grid[part], live[part], state, s, first[part])
+        adam.update(p, g, rate / np.sqrt(1 + adam.turn / 100))
+    return len(stream)
 
 
 @dataclass
@@ -190,19 +229,32 @@ class LanguageModel:
     outside_distinct: int
 
 
+SLICES = "slice int, task int, n double, part binary"
+
+
+def average(rows: pa.Table) -> pa.Table:
+    """Mean of the parameters of some tasks, weighted by their tokens; the order of arrival does not matter."""
+    rows = rows.select(["slice", "task", "n", "part"]).sort_by("task")
+    n = rows["n"].to_numpy()
+    total = sum(w * np.frombuffer(part, np.float32).astype(np.float64) for w, part in zip(n, rows["part"].to_pylist()))
+    mean = (total / n.sum()).astype(np.float32).tobytes()
+    return pa.table({"slice": rows["slice"][:1], "task": rows["task"][:1], "n": pa.array([float(n.sum())]), "part": pa.array([mean], pa.binary())})
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: ModelSettings = ModelSettings()) -> tuple[LanguageModel, DataFrame]:
     """Learn from all rows of ``docs``; returns the model and the counts of the words that are not frequent.
 
-    Word counts cover every training token. The vocabulary of the network is its most frequent words;
-    all others share one word, within which they are told apart by their counts. Gates are trained in
-    tasks on a fixed share of the documents and averaged after every pass.
+    Word counts and gates learn from every training token. The vocabulary of the network is the most
+    frequent words, more of them in a larger corpus; all others share one word, within which they are told
+    apart by their counts. Gates are trained in tasks, each on the documents of its partition, and averaged
+    after every round. Null texts are one end; repeated rows count as often as they come.
     """
-    s = settings
     spark = docs.sparkSession
     counts = materialize(word_counts(docs, text, lambda words: [w.lower() for w in words]), "counts")
     words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = docs.count()
     tokens, distinct = words + ends, distinct + (ends > 0)
+    s = sized(settings, tokens)
     least = -(-tokens // FREQUENT)
     top = counts.filter(F.col("n") >= least).toArrow()
     order = sorted(zip((-x for x in top["n"].to_pylist()), (w.encode() for w in top["word"].to_pylist())))
@@ -221,30 +273,43 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Mode
     at[place] = np.arange(size)
     known = {w: (n, int(at[i]) if i >= 0 else -1) for w, (n, i) in known.items()}
     model = LanguageModel(s, packed(fresh(s, unigram[place])), known, int(at[unknown]), tokens, distinct, tokens - inside, max(0, distinct - len(vocabulary)))
-    share = min(1.0, max(s.share, s.documents / max(1, ends)))
-    limit = min(2**63 - 1, int(-(2**63) + share * (2**64 - 1)))
-    chosen = docs.filter(keyed_hash(F.col(key), s.seed) <= F.lit(limit)).select(F.col(text).alias("text"))
+    draw = keyed_hash(F.col(key), s.seed)
+    edges = [int(-(2**63) + x * (2**64 - 1)) for x in (0.0, *s.rounds[:-1])] + [2**63 - 1]
 
-    for turn in range(s.rounds):
+    for turn, (above, up_to) in enumerate(zip(edges, edges[1:])):
+        chosen = docs.filter((draw <= F.lit(up_to)) & ((draw > F.lit(above)) if turn else F.lit(True)))
         shared = spark.sparkContext.broadcast(model)
 
         def learn(batches: Iterator[pa.RecordBatch], turn: int = turn, shared=shared) -> Iterator[pa.RecordBatch]:
             now = shared.value
-            lists = [x for batch in batches for x in (ids_of(raw, now) for raw in texts_of(batch))]
-            if not lists or sum(map(len, lists)) < s.window:
-                return
-            lists = [lists[i] for i in np.random.default_rng(turn).permutation(len(lists))]
-            p, n = train_on(unpacked(now.parameters, s), lists, s)
-            flat = packed(p)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(flat) + 1), pa.int32()), pa.array(np.append(flat, 1.0) * n)], names=["at", "value"]
-            )
-
-        # one row per parameter reaches the driver, whatever the number of tasks
-        sums = chosen.mapInArrow(learn, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toPandas()
-        if len(sums):
-            sums = sums.sort_values("at")["value"].to_numpy()
-            model.parameters = sums[:-1] / sums[-1]
+            p = unpacked(now.parameters, s)
+            adam = Adam(*({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2)))
+            lists, held, n = [], 0, 0
+            rate = s.rate * 0.7**turn
+            for batch in batches:
+                for raw in texts_of(batch):
+                    lists.append(ids_of(raw, now))
+                    held += len(lists[-1])
+                    if held >= s.block:
+                        n += train_on(p, lists, s, adam, rate)
+                        lists, held = [], 0
+            if lists:
+                n += train_on(p, lists, s, adam, rate)
+            if n:
+                flat, task = packed(p).astype(np.float32), TaskContext.get().partitionId()
+                parts = [flat[at : at + s.slice].tobytes() for at in range(0, len(flat), s.slice)]
+                size = len(parts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(size), pa.int32()), pa.array([task] * size, pa.int32()), pa.array([float(n)] * size), pa.array(parts, pa.binary())],
+                    names=["slice", "task", "n", "part"],
+                )
+
+        # tasks' parameters are averaged in two steps; one row per slice reaches the driver
+        made = chosen.select(F.col(text).alias("text")).mapInArrow(learn, SLICES)
+        some = made.groupBy("slice", F.pmod("task", F.lit(64)).alias("some")).applyInArrow(average, SLICES)
+        slices = some.groupBy("slice").applyInArrow(average, SLICES).toArrow().sort_by("slice")
+        if slices.num_rows:
+            model.parameters = np.frombuffer(b"".join(slices["part"].to_pylist()), np.float32).astype(np.float64)
     return model, counts.filter(F.col("n") < least)
 
 

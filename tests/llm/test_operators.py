@@ -1,6 +1,8 @@
 """Each operator against brute force on small rows: nulls, empty and long texts, ties, repeats, empty tables, clashing names."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -298,6 +300,62 @@ def test_language_model(odd, none):
     assert langmodel.score(none, model, rare).count() == 0
 
 
+def test_language_model_against_a_plain_loop(odd):
+    docs = odd.filter("doc_id is null or doc_id != 73")
+    model, rare = langmodel.fit(docs, settings=langmodel.ModelSettings(classes=2, class_size=3, hidden=4))
+    s, p = model.settings, langmodel.unpacked(model.parameters, model.settings)
+    lower = lambda text: "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").split()
+    counts = Counter(w for r in docs.collect() for w in [*lower(r["text"]), None])
+    assert sum(counts.values()) == model.tokens and len(counts) == model.distinct
+    inside = {w: i for w, (_, i) in model.counts.items() if i >= 0}
+    for r in langmodel.score(odd, model, rare).collect():
+        if r["doc_id"] == 73:
+            continue
+        text = next(x["text"] for x in odd.filter(F.col("doc_id").eqNullSafe(r["doc_id"])).collect())
+        tokens = [*lower(text), None]
+        base = sum(math.log10((counts[t] + 1) / (model.tokens + model.distinct + 1)) for t in tokens)
+        assert (r["n_tokens"], r["n_known"]) == (len(tokens), sum(counts[t] > 0 for t in tokens))
+        assert r["base_score"] == pytest.approx(base)
+        state, before, total = np.zeros((1, s.hidden), np.float32), s.classes * s.class_size, 0.0
+        for t in tokens:
+            state, _ = langmodel.step(p, np.array([before]), state)
+            before = inside.get(t.encode() if t else langmodel.END, model.unknown)
+            total += langmodel.word_log_probs(p, state, np.array([before]), s)[0] / math.log(10)
+            if before == model.unknown:
+                total += math.log10((counts[t] + 1) / (model.outside_tokens + model.outside_distinct + 1))
+        assert r["score"] == pytest.approx(total, rel=1e-4)
+
+
+def test_every_training_row_is_learned_from(spark, monkeypatch):
+    seen = spark.createDataFrame([(i, "one two three " * (i % 5)) for i in range(300)] + [(None, "one"), (None, None)], "doc_id bigint, text string")
+    sizes = []
+    plain = langmodel.fit(seen)[0]
+    s = plain.settings
+    assert s.classes == s.class_size == max(4, round(s.growth * plain.tokens ** (1 / 6)))
+    assert langmodel.sized(langmodel.ModelSettings(), 10**9).classes > langmodel.sized(langmodel.ModelSettings(), 10**7).classes > s.classes
+    again = langmodel.fit(seen)[0]
+    assert (again.parameters == plain.parameters).all()
+    # one task's stream: all tokens count, however they are laid in lanes
+    p = langmodel.fresh(s, np.ones(s.classes * s.class_size))
+    real = langmodel.gradients
+    monkeypatch.setattr(langmodel, "gradients", lambda p, x, y, live, *rest: sizes.append(int(live.sum())) or real(p, x, y, live, *rest))
+    for lengths in ([1], [3, 1, 9], [700, 1, 1, 5000]):
+        sizes.clear()
+        adam = langmodel.Adam(*({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2)))
+        n = langmodel.train_on(p, [np.arange(n) % 7 for n in lengths], s, adam, 0.01)
+        assert n == sum(lengths) == sum(sizes)
+
+
+def test_a_window_over_two_documents_equals_two_windows():
+    s = langmodel.ModelSettings(hidden=3, classes=2, class_size=3)
+    p = {k: v.astype(np.float64) for k, v in langmodel.fresh(s, np.arange(6)).items()}
+    x, y = np.array([[6], [1], [6], [3]]), np.array([[1], [2], [3], [0]])
+    both, _ = langmodel.gradients(p, x, y, np.ones_like(y), np.ones((1, 3)), s, np.array([[True], [False], [True], [False]]))
+    parts = [langmodel.gradients(p, x[i : i + 2], y[i : i + 2], np.ones((2, 1), int), np.zeros((1, 3)), s)[0] for i in (0, 2)]
+    for k in p:
+        assert both[k] == pytest.approx((parts[0][k] + parts[1][k]) / 2)
+
+
 def test_network_gives_probabilities_and_right_gradients():
     s = langmodel.ModelSettings(hidden=3, classes=2, class_size=3)
     p = {k: v.astype(np.float64) for k, v in langmodel.fresh(s, np.arange(6)).items()}
