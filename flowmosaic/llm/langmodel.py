@@ -34,7 +34,7 @@ class ModelSettings:
     rounds: tuple[float, ...] = (1 / 64, 1 / 16, 1 / 4, 1.0)
     #: Tokens back through which gradients flow, and documents side by side.
     window: int = 16
-    lanes: int = 256
+    lanes: int = 1024
     rate: float = 0.02
     #: Tokens that a task lays in lanes at a time, and parameters in a row that tasks hand on.
     block: int = 1_000_000
@@ -93,33 +93,43 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
+def product(a: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """a @ w, laid out by columns: gates and classes are then worked on as long runs over lanes."""
+    return (w.T @ a.T).T
+
+
 def step(p: dict, ids: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
     """One gated step for every lane: (new state, what the gradient needs)."""
     h = state.shape[1]
-    inner, outer = p["inputs"][ids], state @ p["back"]
+    inner, outer = np.asfortranarray(p["inputs"][ids]), product(state, p["back"])
     gates = sigmoid(inner[:, : 2 * h] + outer[:, : 2 * h])
     update, reset = gates[:, :h], gates[:, h:]
     fresh_state = np.tanh(inner[:, 2 * h :] + reset * outer[:, 2 * h :])
     return fresh_state + update * (state - fresh_state), (ids, state, update, reset, fresh_state, outer[:, 2 * h :])
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=-1, keepdims=True)
-    x = x - top
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+def softmax(x: np.ndarray) -> np.ndarray:
+    powers = np.exp(x - x.max(axis=1)[:, None])
+    powers /= powers.sum(axis=1)[:, None]
+    return powers
+
+
+def log_chance(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """Log probability of one column of each row."""
+    top = x.max(axis=1)
+    return x[np.arange(len(x)), picked] - top - np.log(np.exp(x - top[:, None]).sum(axis=1))
 
 
 def word_log_probs(p: dict, states: np.ndarray, ids: np.ndarray, s: ModelSettings) -> np.ndarray:
     """Natural log probability of each word id: of its class, times of the word in the class."""
     kind, inside = np.divmod(ids, s.class_size)
-    rows = np.arange(len(ids))
-    out = log_softmax(states @ p["class_w"] + p["class_b"])[rows, kind].astype(np.float64)
+    out = log_chance(product(states, p["class_w"]) + p["class_b"], kind).astype(np.float64)
     order = np.argsort(kind, kind="stable")
     edges = np.searchsorted(kind[order], np.arange(s.classes + 1))
     for c in range(s.classes):
         at = order[edges[c] : edges[c + 1]]
         if len(at):
-            out[at] += log_softmax(states[at] @ p["word_w"][c] + p["word_b"][c])[np.arange(len(at)), inside[at]]
+            out[at] += log_chance(product(states[at], p["word_w"][c]) + p["word_b"][c], inside[at])
     return out
 
 
@@ -131,7 +141,8 @@ def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray
     h, trace, states = s.hidden, [], []
     opens = np.zeros(inputs.shape, bool) if opens is None else opens
     for t in range(len(inputs)):
-        state = np.where(opens[t][:, None], np.float32(0), state)
+        if opens[t].any():
+            state = np.where(opens[t][:, None], np.float32(0), state)
         state, kept = step(p, inputs[t], state)
         trace.append(kept)
         states.append(state)
@@ -139,39 +150,40 @@ def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray
     flat, ids, on = np.concatenate(states), targets.ravel(), live.ravel()
     kind, inside = np.divmod(ids, s.class_size)
     scale = (on / max(1, on.sum())).astype(np.float32)
-    slope = np.exp(log_softmax(flat @ p["class_w"] + p["class_b"]))
+    slope = softmax(product(flat, p["class_w"]) + p["class_b"])
     slope[np.arange(len(ids)), kind] -= 1
     slope *= scale[:, None]
     g["class_w"], g["class_b"] = flat.T @ slope, slope.sum(axis=0)
-    into = slope @ p["class_w"].T
+    into = product(slope, p["class_w"].T)
     order = np.argsort(np.where(on > 0, kind, s.classes), kind="stable")
     edges = np.searchsorted(np.where(on > 0, kind, s.classes)[order], np.arange(s.classes + 1))
     for c in range(s.classes):
         at = order[edges[c] : edges[c + 1]]
         if not len(at):
             continue
-        slope = np.exp(log_softmax(flat[at] @ p["word_w"][c] + p["word_b"][c]))
+        slope = softmax(product(flat[at], p["word_w"][c]) + p["word_b"][c])
         slope[np.arange(len(at)), inside[at]] -= 1
         slope *= scale[at, None]
         g["word_w"][c], g["word_b"][c] = flat[at].T @ slope, slope.sum(axis=0)
         into[at] += slope @ p["word_w"][c].T
-    into = into.reshape(len(inputs), -1, h)
-    carry, gates = np.zeros_like(state), []
+    lanes = inputs.shape[1]
+    carry, gates, backs = np.zeros_like(state), [], []
     for t in range(len(inputs) - 1, -1, -1):
         ids, before, update, reset, new, outer = trace[t]
-        up = into[t] + carry
+        up = into[t * lanes : (t + 1) * lanes] + carry
         to_new = up * (1 - update) * (1 - new**2)
         to_update = up * (before - new) * update * (1 - update)
         to_reset = to_new * outer * reset * (1 - reset)
-        into_gates = np.concatenate([to_update, to_reset, to_new], axis=1)
-        gates.append(into_gates)
-        into_back = np.concatenate([to_update, to_reset, to_new * reset], axis=1)
-        g["back"] += before.T @ into_back
-        carry = np.where(opens[t][:, None], 0, up * update + into_back @ p["back"].T)
+        gates.append(np.concatenate([to_update, to_reset, to_new], axis=1))
+        backs.append(np.concatenate([to_update, to_reset, to_new * reset], axis=1))
+        carry = up * update + product(backs[-1], p["back"].T)
+        if opens[t].any():
+            carry = np.where(opens[t][:, None], 0, carry)
+    g["back"] = np.concatenate([kept[1] for kept in trace[::-1]]).T @ np.concatenate(backs)
     ids = inputs[::-1].ravel()
     order = np.argsort(ids, kind="stable")
     seen, first = np.unique(ids[order], return_index=True)
-    g["inputs"][seen] = np.add.reduceat(np.concatenate(gates)[order], first)
+    g["inputs"][seen] = np.add.reduceat(np.ascontiguousarray(np.concatenate(gates))[order], first)
     return g, state
 
 
