@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowmosaic.llm.common import keyed_hash
+from flowmosaic.llm.common import keyed_hash, materialize
 
 #: Multipliers of the subword hash, one per order.
 MIX = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917), np.uint32(668265263))
@@ -25,10 +25,9 @@ class LanguageSettings:
     orders: tuple[int, ...] = (2, 3, 4)
     buckets: int = 1 << 16
     width: int = 16
-    #: Bound of the training sample, all languages together, and of the languages told apart.
+    #: Bound of the training sample, all languages together; each gets 4 documents at least.
     sample: int = 4096
     per_language: int = 400
-    max_languages: int = 256
     epochs: int = 6
     rate: float = 4.0
     #: Share of the sample kept from the gradient to calibrate temperature and rejection.
@@ -106,26 +105,25 @@ def temperature_of(scores: np.ndarray, labels: np.ndarray) -> float:
 def sample_documents(docs: DataFrame, key: str, text: str, lang: str, settings: LanguageSettings) -> tuple[DataFrame, list[str]]:
     """Labelled texts, an even share per language, chosen by the hash of the key; and the languages."""
     usable = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).withColumn("_draw", keyed_hash(F.col(key), settings.seed))
-    sizes = usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(settings.max_languages).collect()
-    if not sizes:
+    # a written table, so that the planner knows its size when it joins it with the texts
+    sizes = materialize(usable.groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_n")), "languages")
+    languages = sorted(row["_lang"] for row in sizes.select("_lang").collect())
+    if not languages:
         return usable.limit(0), []
-    quota = max(4, min(settings.per_language, settings.sample // len(sizes)))
+    quota = max(4, min(settings.per_language, settings.sample // len(languages)))
     # the share of the 64-bit hash range that yields about the quota; small languages come whole
-    parts = []
-    for row in sizes:
-        share = min(1.0, quota / row["count"])
-        parts.append((F.col(lang) == row[lang]) & (F.col("_draw") <= F.lit(int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1)))
-    chosen = parts[0]
-    for part in parts[1:]:
-        chosen = chosen | part
-    return usable.filter(chosen), sorted(row[lang] for row in sizes)
+    share = F.lit(float(quota)) / F.col("_n")
+    most = F.when(share >= 1, F.lit(2**63 - 1)).otherwise((share * F.lit(float(2**64)) - F.lit(float(2**63))).cast("bigint"))
+    limits = sizes.select("_lang", most.alias("_most"))
+    return usable.join(limits, F.col(lang) == F.col("_lang")).filter(F.col("_draw") <= F.col("_most")), languages
 
 
 def fit_language_model(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", settings: LanguageSettings = LanguageSettings()):
     """(languages, score per bucket and language, temperature, rejection threshold).
 
-    ``docs`` are the rows to learn from. Bags of whole texts are made in tasks; the driver gets those of
-    about ``sample`` documents at most, each no larger than the bucket count.
+    ``docs`` are the rows to learn from; every language in them is learned. Bags of whole texts are made in
+    tasks; the driver gets those of about ``sample`` documents, or of 4 a language where that is more, each no
+    larger than the bucket count. The table that scoring broadcasts has ``buckets`` rows and a column a language.
     """
     sample, languages = sample_documents(docs, key, text, lang, settings)
     if not languages:
@@ -139,12 +137,14 @@ def fit_language_model(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     [pa.array([draw]), pa.array([group], pa.string()), pa.array([at.astype(np.int32)]), pa.array([share])], names=["draw", "lang", "at", "share"]
                 )
 
-    rows = sample.select("_draw", lang, text).mapInArrow(bags, "draw bigint, lang string, at array<int>, share array<float>").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["draw"], r["lang"], len(r["at"])))
-    labels = np.array([languages.index(r["lang"]) for r in rows])
-    made = [(np.array(r["at"]), np.array(r["share"], np.float32)) for r in rows]
-    held = np.random.default_rng(settings.seed).random(len(rows)) < settings.calibration
-    fitted = np.flatnonzero(~held) if (~held).any() else np.arange(len(rows))
+    rows = sample.select("_draw", lang, text).mapInArrow(bags, "draw bigint, lang string, at array<int>, share array<float>").toArrow()
+    place = {name: i for i, name in enumerate(languages)}
+    found = [(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(rows["at"], rows["share"])]
+    order = sorted(zip(rows["draw"].to_pylist(), rows["lang"].to_pylist(), (len(x[0]) for x in found), range(len(found))))
+    labels = np.array([place[group] for _, group, _, _ in order])
+    made = [found[i] for *_, i in order]
+    held = np.random.default_rng(settings.seed).random(len(made)) < settings.calibration
+    fitted = np.flatnonzero(~held) if (~held).any() else np.arange(len(made))
     inner, outer = train([made[i] for i in fitted], labels[fitted], len(languages), settings)
     table = inner @ outer
     check = np.flatnonzero(held) if held.any() else fitted

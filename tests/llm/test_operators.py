@@ -291,6 +291,20 @@ def test_language(spark, odd, none):
     assert {r["lang_pred"] for r in langid.identify(docs, empty).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(300):
+        parts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(4)]
+        rows += [(12 * i + j, " ".join("".join(rng.choices(parts, k=2)) for _ in range(30)), f"l{i:03d}") for j in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit_language_model(docs.filter("doc_id % 12 < 11"))
+    assert model[0] == [f"l{i:03d}" for i in range(300)]
+    found = langid.identify(docs.filter("doc_id % 12 = 11"), model).collect()
+    assert len(found) == 300 and np.mean([r["lang_pred"] == r["lang"] for r in found]) > 0.9
+    assert np.mean([r["lang_pred"] == r["lang"] for r in found if r["lang"] >= "l256"]) > 0.9
+
+
 def test_language_model(odd, none):
     model, rare = langmodel.fit(odd)
     got = langmodel.score(odd, model, rare).collect()
