@@ -104,7 +104,7 @@ def temperature_of(scores: np.ndarray, labels: np.ndarray) -> float:
 
 def sample_documents(docs: DataFrame, key: str, text: str, lang: str, settings: LanguageSettings) -> tuple[DataFrame, list[str]]:
     """Labelled texts, an even share per language, chosen by the hash of the key; and the languages."""
-    usable = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).withColumn("_draw", keyed_hash(F.col(key), settings.seed))
+    usable = docs.select(*dict.fromkeys((key, text, lang))).filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).withColumn("_draw", keyed_hash(F.col(key), settings.seed))
     # a written table, so that the planner knows its size when it joins it with the texts
     sizes = materialize(usable.groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_n")), "languages")
     languages = sorted(row["_lang"] for row in sizes.select("_lang").collect())
