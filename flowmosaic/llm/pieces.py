@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,15 +32,28 @@ ROWS = 64
 
 @dataclass(frozen=True)
 class PieceTable:
-    """Ordinary pieces with id and score, and the first of the 256 byte pieces."""
+    """Ordinary pieces with id and score, and the first of the 256 byte pieces.
+
+    ``trie`` leads from character to character: (what may follow, id or -1, score) of every beginning of a piece.
+    """
 
     pieces: dict
+    trie: dict
     texts: tuple
     first_byte: int
     longest: int
     lowest: float
 
 
+def trie_of(plain: dict) -> dict:
+    trie: dict = {}
+    following = {"": trie}
+    for head in sorted({t[:n] for t in plain for n in range(1, len(t) + 1)}):  # every head after its own heads
+        following[head] = {}
+        following[head[:-1]][head[-1]] = (following[head], *plain.get(head, (-1, 0.0)))
+    return trie
+
+
 def load_pieces(path: str = MODEL_PATH) -> PieceTable:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     texts = [model.id_to_piece(i) for i in range(model.get_piece_size())]
@@ -49,7 +64,7 @@ def load_pieces(path: str = MODEL_PATH) -> PieceTable:
     first = texts.index("<0x00>")
     if texts[first : first + 256] != [f"<0x{b:02X}>" for b in range(256)]:
         raise ValueError("the model has no byte pieces")
-    return PieceTable(plain, tuple(texts), first, max(map(len, plain)), min(s for _, s in plain.values()))
+    return PieceTable(plain, trie_of(plain), tuple(texts), first, max(map(len, plain)), min(s for _, s in plain.values()))
 
 
 def words_of(text: str) -> list[str]:
@@ -58,6 +73,9 @@ def words_of(text: str) -> list[str]:
     A blank, written as the space mark, opens a word; a line end is a word of its own. A space mark that
     the text itself holds becomes a word with a line end before it, which no other word can have.
     """
+    if SPACE not in text:
+        marked = SPACE + text.replace(" ", " " + SPACE)
+        return [word for word in marked.replace("\n", " \n ").split(" ") if word] if "\n" in text else marked.split(" ")
     out = []
     for run in text.split(" "):
         if "\n" not in run and SPACE not in run:
@@ -85,22 +103,24 @@ def viterbi(word: str, table: PieceTable) -> list[int]:
     """Best-scoring pieces of one word; of equal paths the one whose last pieces start first."""
     if word[0] == "\n":
         return byte_ids(word[-1], table)
-    n, get = len(word), table.pieces.get
-    best, back = [0.0] + [-np.inf] * n, [(0, -1)] * (n + 1)
+    n, unknown = len(word), table.lowest - UNKNOWN_PENALTY
+    best, before, pieces = [0.0] + [-np.inf] * n, [0] * (n + 1), [-1] * (n + 1)
     for start in range(n):
-        here = best[start]
-        for end in range(start + 1, min(n, start + table.longest) + 1):
-            piece = get(word[start:end])
-            if piece is None:
-                if end > start + 1:
-                    continue
-                piece = (-1, table.lowest - UNKNOWN_PENALTY)
-            if here + piece[1] > best[end]:
-                best[end], back[end] = here + piece[1], (start, piece[0])
+        here, end, following = best[start], start, table.trie
+        for char in word[start : start + table.longest]:
+            node = following.get(char)
+            end += 1
+            if node is None:
+                break
+            following, piece, score = node
+            if piece >= 0 and here + score > best[end]:
+                best[end], before[end], pieces[end] = here + score, start, piece
+        if here + unknown > best[start + 1] and table.trie.get(word[start], (None, -1))[1] < 0:
+            best[start + 1], before[start + 1], pieces[start + 1] = here + unknown, start, -1
     out, at = [], n
     while at:
-        start, piece = back[at]
-        out.append([piece] if piece >= 0 else byte_ids(word[start:at], table))
+        start = before[at]
+        out.append([pieces[at]] if pieces[at] >= 0 else byte_ids(word[start:at], table))
         at = start
     return [i for part in reversed(out) for i in part]
 
@@ -197,6 +217,22 @@ def frequent_words(docs: DataFrame, text: str) -> DataFrame:
     return counts.filter((F.col("n") >= max(1, -(-total // FREQUENT))) & (F.length("word") <= LONGEST_FREQUENT)).select("word")
 
 
+class Solved(dict):
+    """Packed ids of the frequent words; other words are solved over the lattice, with a bounded memory of those met."""
+
+    def __init__(self, table: PieceTable, found: Iterable):
+        super().__init__(found)
+        self.table, self.memory = table, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.memory.get(word)
+        if ids is None:
+            if len(self.memory) >= MEMORY:
+                self.memory.clear()
+            ids = self.memory[word] = array("i", viterbi(word, self.table)).tobytes()
+        return ids
+
+
 def encode(docs: DataFrame, text: str = "text", path: str = MODEL_PATH) -> DataFrame:
     """All columns plus ``ids`` and ``n_pieces`` (replaced if they exist).
 
@@ -206,29 +242,17 @@ def encode(docs: DataFrame, text: str = "text", path: str = MODEL_PATH) -> DataF
     """
     table = load_pieces(path)
     known = encode_words(frequent_words(docs, text), table).toArrow()
-    found = {word: np.array(ids, np.int32).tobytes() for word, ids in zip(known["word"].to_pylist(), known["ids"].to_pylist())}
-    shared = docs.sparkSession.sparkContext.broadcast((table, found))
+    found = Solved(table, ((word, array("i", ids).tobytes()) for word, ids in zip(known["word"].to_pylist(), known["ids"].to_pylist())))
+    shared = docs.sparkSession.sparkContext.broadcast(found)
     plain = docs.drop("ids", "n_pieces")
     kept = [f.name for f in plain.schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, found = shared.value
-        memory: dict[str, bytes] = {}
-
-        def look(word: str) -> bytes:
-            ids = found.get(word)
-            if ids is None:
-                ids = memory.get(word)
-                if ids is None:
-                    if len(memory) >= MEMORY:
-                        memory.clear()
-                    ids = memory[word] = np.array(viterbi(word, table), np.int32).tobytes()
-            return ids
-
+        solved = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                rows = [None if body is None else b"".join(map(look, words_of(body))) if body else b"" for body in part.column(text).to_pylist()]
+                rows = [None if body is None else b"".join(map(solved.__getitem__, words_of(body))) if body else b"" for body in part.column(text).to_pylist()]
                 sizes = np.array([0 if row is None else len(row) // 4 for row in rows], np.int64)
                 ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
                 places = pa.array(ends, mask=np.array([row is None for row in rows] + [False]))
@@ -245,7 +269,7 @@ def decode(docs: DataFrame, ids: str = "ids", column: str = "decoded", path: str
     table = load_pieces(path)
     texts = [t.replace(SPACE, " ").encode() for t in table.texts]
     texts[table.first_byte : table.first_byte + 256] = [bytes([b]) for b in range(256)]
-    shared = docs.sparkSession.sparkContext.broadcast(np.array(texts, object))
+    shared = docs.sparkSession.sparkContext.broadcast(pa.array(texts, pa.large_binary()))
     plain = docs.drop(column)
     kept = [f.name for f in plain.schema]
 
@@ -253,10 +277,17 @@ def decode(docs: DataFrame, ids: str = "ids", column: str = "decoded", path: str
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                bodies = [
-                    None if not row.is_valid else b"".join(shared.value[row.values.to_numpy()].tolist())[1:].decode()
-                    for row in part.column(ids)
-                ]
+                lists = part.column(ids)
+                flat = lists.flatten()
+                if flat.null_count:
+                    raise ValueError("a piece id is null")
+                # side by side the pieces' bytes are the texts, each with a blank before it
+                taken = shared.value.take(flat)
+                _, starts, data = taken.buffers()
+                starts = np.frombuffer(starts, np.int64)[: len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
+                edges = starts[np.r_[0, np.cumsum(pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False))]].tolist()
+                raw = memoryview(data) if data else b""
+                bodies = [str(raw[low + 1 : high], "utf-8") if valid else None for low, high, valid in zip(edges, edges[1:], lists.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [pa.array(bodies, pa.string())], names=kept + [column])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema] + [f"`{column}` string"])

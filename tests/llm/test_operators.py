@@ -419,6 +419,33 @@ def test_relational_and_in_task_lattices_agree(spark):
     assert got == {w: pieces.viterbi(w, table) for w in words}
 
 
+def test_the_lattice_follows_the_beginnings_of_pieces():
+    """Same pieces as a loop over every substring, without cutting every substring out of the word."""
+
+    class Word(str):
+        cut = 0
+
+        def __getitem__(self, at):
+            Word.cut += isinstance(at, slice)
+            return str(self)[at]
+
+    table, rng = pieces.load_pieces(), random.Random(8)
+    for _ in range(60):
+        word = pieces.SPACE + "".join(rng.choice("tioneéx日qu") for _ in range(rng.randint(1, 40)))
+        best = [(0.0, ())] + [(-math.inf, ())] * len(word)
+        for start in range(len(word)):
+            for end in range(start + 1, min(len(word), start + table.longest) + 1):
+                piece = table.pieces.get(word[start:end])
+                if piece or end == start + 1:
+                    i, score = piece or (-1, table.lowest - pieces.UNKNOWN_PENALTY)
+                    if best[start][0] + score > best[end][0]:
+                        ids = (i,) if piece else tuple(table.first_byte + b for b in word[start].encode())
+                        best[end] = (best[start][0] + score, best[start][1] + ids)
+        Word.cut = 0
+        assert pieces.viterbi(Word(word), table) == list(best[-1][1])
+        assert Word.cut <= 2 * len(word)
+
+
 def test_one_row_of_every_group_stays(spark):
     body = " ".join(f"w{i}" for i in range(60))
     rows = [(1, body, "a"), (1, body, "a"), (1, body, "b"), (2, body, "a"), (3, "", "a"), (4, " \n", "a"), (5, None, "b"), (6, "other words", "a"), (6, "quite different", "a"), (None, body, "c"), (None, "no id", "c")]
