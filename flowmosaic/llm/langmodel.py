@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -90,7 +90,11 @@ def unpacked(flat: np.ndarray, s: ModelSettings) -> dict[str, np.ndarray]:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
+    out = 0.5 * x
+    np.tanh(out, out=out)
+    out += 1
+    out *= 0.5
+    return out
 
 
 def product(a: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -114,6 +118,13 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return powers
 
 
+def by_number(numbers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places sorted by their number, and where each number below ``n`` begins among them and the last one ends."""
+    # numbers of 16 bits are sorted by radix
+    order = np.argsort(numbers.astype(np.uint16) if n < 1 << 16 else numbers, kind="stable")
+    return order, np.r_[0, np.cumsum(np.bincount(numbers, minlength=n)[:n])]
+
+
 def log_chance(x: np.ndarray, picked: np.ndarray) -> np.ndarray:
     """Log probability of one column of each row."""
     top = x.max(axis=1)
@@ -124,12 +135,14 @@ def word_log_probs(p: dict, states: np.ndarray, ids: np.ndarray, s: ModelSetting
     """Natural log probability of each word id: of its class, times of the word in the class."""
     kind, inside = np.divmod(ids, s.class_size)
     out = log_chance(product(states, p["class_w"]) + p["class_b"], kind).astype(np.float64)
-    order = np.argsort(kind, kind="stable")
-    edges = np.searchsorted(kind[order], np.arange(s.classes + 1))
+    order, edges = by_number(kind, s.classes)
+    sorted_states, sorted_inside, logs = states[order], inside[order], []
     for c in range(s.classes):
-        at = order[edges[c] : edges[c + 1]]
-        if len(at):
-            out[at] += log_chance(product(states[at], p["word_w"][c]) + p["word_b"][c], inside[at])
+        at = slice(edges[c], edges[c + 1])
+        if edges[c] < edges[c + 1]:
+            logs.append(log_chance(product(sorted_states[at], p["word_w"][c]) + p["word_b"][c], sorted_inside[at]))
+    if logs:
+        out[order] += np.concatenate(logs)
     return out
 
 
@@ -155,24 +168,25 @@ def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray
     slope *= scale[:, None]
     g["class_w"], g["class_b"] = flat.T @ slope, slope.sum(axis=0)
     into = product(slope, p["class_w"].T)
-    order = np.argsort(np.where(on > 0, kind, s.classes), kind="stable")
-    edges = np.searchsorted(np.where(on > 0, kind, s.classes)[order], np.arange(s.classes + 1))
+    order, edges = by_number(np.where(on > 0, kind, s.classes), s.classes)
     for c in range(s.classes):
         at = order[edges[c] : edges[c + 1]]
         if not len(at):
             continue
-        slope = softmax(product(flat[at], p["word_w"][c]) + p["word_b"][c])
+        mine = flat[at]
+        slope = softmax(product(mine, p["word_w"][c]) + p["word_b"][c])
         slope[np.arange(len(at)), inside[at]] -= 1
         slope *= scale[at, None]
-        g["word_w"][c], g["word_b"][c] = flat[at].T @ slope, slope.sum(axis=0)
+        g["word_w"][c], g["word_b"][c] = mine.T @ slope, slope.sum(axis=0)
         into[at] += slope @ p["word_w"][c].T
     lanes = inputs.shape[1]
     carry, gates, backs = np.zeros_like(state), [], []
     for t in range(len(inputs) - 1, -1, -1):
         ids, before, update, reset, new, outer = trace[t]
         up = into[t * lanes : (t + 1) * lanes] + carry
-        to_new = up * (1 - update) * (1 - new**2)
-        to_update = up * (before - new) * update * (1 - update)
+        rest = 1 - update
+        to_new = up * rest * (1 - new**2)
+        to_update = up * (before - new) * update * rest
         to_reset = to_new * outer * reset * (1 - reset)
         gates.append(np.concatenate([to_update, to_reset, to_new], axis=1))
         backs.append(np.concatenate([to_update, to_reset, to_new * reset], axis=1))
@@ -181,9 +195,9 @@ def gradients(p: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray
             carry = np.where(opens[t][:, None], 0, carry)
     g["back"] = np.concatenate([kept[1] for kept in trace[::-1]]).T @ np.concatenate(backs)
     ids = inputs[::-1].ravel()
-    order = np.argsort(ids, kind="stable")
-    seen, first = np.unique(ids[order], return_index=True)
-    g["inputs"][seen] = np.add.reduceat(np.ascontiguousarray(np.concatenate(gates))[order], first)
+    order, edges = by_number(ids, len(p["inputs"]))
+    seen = np.flatnonzero(edges[1:] > edges[:-1])
+    g["inputs"][seen] = np.add.reduceat(np.ascontiguousarray(np.concatenate(gates))[order], edges[seen])
     return g, state
 
 
@@ -262,7 +276,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Mode
     after every round. Null texts are one end; repeated rows count as often as they come.
     """
     spark = docs.sparkSession
-    counts = materialize(word_counts(docs, text, lambda words: [w.lower() for w in words]), "counts")
+    counts = materialize(word_counts(docs, text, lambda words: b" ".join(words).lower().split()), "counts")
     words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = docs.count()
     tokens, distinct = words + ends, distinct + (ends > 0)
@@ -296,11 +310,12 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Mode
             now = shared.value
             p = unpacked(now.parameters, s)
             adam = Adam(*({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2)))
+            places = network_places(now)
             lists, held, n = [], 0, 0
             rate = s.rate * 0.7**turn
             for batch in batches:
                 for raw in texts_of(batch):
-                    lists.append(ids_of(raw, now))
+                    lists.append(ids_of(raw, places, now.unknown))
                     held += len(lists[-1])
                     if held >= s.block:
                         n += train_on(p, lists, s, adam, rate)
@@ -325,14 +340,44 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Mode
     return model, counts.filter(F.col("n") < least)
 
 
-def ids_of(raw: bytes | None, model: LanguageModel) -> np.ndarray:
+def network_places(model: LanguageModel) -> dict:
+    """Network id of every word that has one."""
+    return {w: i for w, (_, i) in model.counts.items() if i >= 0}
+
+
+def ids_of(raw: bytes | None, places: dict, unknown: int) -> np.ndarray:
     """Network ids of a whole text, its end included."""
-    ids, get, other = array("i"), model.counts.get, (0, -1)
-    for words in tokens_of(raw):
-        ids.extend([get(w, other)[1] for w in words])
-    out = np.frombuffer(ids, np.int32).astype(np.int64)
-    out[out < 0] = model.unknown
-    return out
+    parts = [np.fromiter(map(places.get, words, repeat(unknown)), np.int64, len(words)) for words in tokens_of(raw)]
+    return np.concatenate(parts)
+
+
+class FrequentWords:
+    """The model's frequent words by place: log10 of count and one, network id, whether it is outside the network.
+
+    The last place is for every other word.
+    """
+
+    def __init__(self, model: LanguageModel):
+        n, ids = np.array([*model.counts.values(), (0, -1)], np.int64).T
+        self.places = dict(zip(model.counts, range(len(model.counts))))
+        self.log, self.outer = np.log10(n + 1.0), ids < 0
+        self.outer_log = np.where(self.outer, self.log, 0.0)
+        self.ids = np.where(self.outer, model.unknown, ids)
+
+    def look_up(self, raw: bytes | None) -> tuple[np.ndarray, tuple]:
+        """Network ids of a whole text, and (tokens, known, sum of logs, that of outer words, outer words, hashes of the others)."""
+        ids, others, known, base, logs, outside = [], [], 0, 0.0, 0.0, 0
+        for words in tokens_of(raw):
+            at = np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
+            ids.append(self.ids[at])
+            rest = np.flatnonzero(at < 0).tolist()
+            others.append(np.fromiter(map(xxhash.xxh64_intdigest, map(words.__getitem__, rest), repeat(42)), np.uint64, len(rest)))
+            known += len(words) - len(rest)
+            base += self.log[at].sum()
+            logs += self.outer_log[at].sum()
+            outside += int(self.outer[at].sum())
+        out = np.concatenate(ids)
+        return out, (len(out), known, base, logs, outside, np.concatenate(others).view(np.int64))
 
 
 def document_scores(documents: list[np.ndarray], p: dict, s: ModelSettings) -> np.ndarray:
@@ -378,7 +423,7 @@ def score(docs: DataFrame, model: LanguageModel, rare: DataFrame, key: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = shared.value
-        p, get = unpacked(now.parameters, s), now.counts.get
+        p, frequent = unpacked(now.parameters, s), FrequentWords(now)
         keys: list = []
         lists: list[np.ndarray] = []
         parts: list[tuple] = []
@@ -395,22 +440,10 @@ def score(docs: DataFrame, model: LanguageModel, rare: DataFrame, key: str = "do
         for batch in batches:
             keys.append(batch.column("key"))
             for raw in texts_of(batch):
-                ids, others, n, base, logs = array("i"), [], 0, 0.0, 0.0
-                for words in tokens_of(raw):
-                    found = [get(w) for w in words]
-                    seen = np.array([f for f in found if f is not None], np.int64).reshape(-1, 2)
-                    ids.extend([f[1] if f else -1 for f in found])
-                    log = np.log10(seen[:, 0] + 1.0)
-                    base += log.sum()
-                    logs += log[seen[:, 1] < 0].sum()
-                    n += len(words)
-                    others += [xxhash.xxh64_intdigest(w, 42) for w, f in zip(words, found) if f is None]
-                out = np.frombuffer(ids, np.int32).astype(np.int64)
-                outside = int((out < 0).sum())
-                out[out < 0] = now.unknown
+                out, sums = frequent.look_up(raw)
                 lists.append(out)
-                held += n
-                parts.append((n, n - len(others), base, logs, outside, np.array(others, np.uint64).view(np.int64)))
+                held += len(out)
+                parts.append(sums)
             if held > s.buffer:
                 yield flush()
                 keys, lists, parts, held = [], [], [], 0

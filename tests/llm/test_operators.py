@@ -340,6 +340,23 @@ def test_language_model_against_a_plain_loop(odd):
         assert r["score"] == pytest.approx(total, rel=1e-4)
 
 
+def test_look_up_of_whole_texts(monkeypatch):
+    """Ids and sums of frequent words by place, against a plain loop; texts in chunks, words of no count hashed."""
+    monkeypatch.setattr(langmodel, "word_chunks", lambda raw: (raw.split()[i : i + 3] for i in range(0, len(raw.split()), 3)))
+    counts = {b"": (5, 1), b"a": (9, 0), b"b": (4, -1), b"c": (1, -1)}
+    model = langmodel.LanguageModel(langmodel.ModelSettings(), np.zeros(1), counts, 2, 30, 9, 11, 7)
+    frequent, places = langmodel.FrequentWords(model), langmodel.network_places(model)
+    for raw in (b"A b x a y x c a", b"", None, b"a", b"zz y"):
+        words = (raw or b"").lower().split() + [b""]
+        ids, (n, known, base, logs, outside, rare) = frequent.look_up(raw)
+        found = [counts.get(w) for w in words]
+        assert ids.tolist() == langmodel.ids_of(raw, places, 2).tolist() == [f[1] if f and f[1] >= 0 else 2 for f in found]
+        assert (n, known, outside) == (len(words), sum(map(bool, found)), ids.tolist().count(2))
+        assert math.isclose(base, sum(math.log10(f[0] + 1) for f in found if f))
+        assert math.isclose(logs, sum(math.log10(f[0] + 1) for f in found if f and f[1] < 0), abs_tol=1e-12)
+        assert rare.view(np.uint64).tolist() == [xxhash.xxh64_intdigest(w, 42) for w, f in zip(words, found) if not f]
+
+
 def test_every_training_row_is_learned_from(spark, monkeypatch):
     seen = spark.createDataFrame([(i, "one two three " * (i % 5)) for i in range(300)] + [(None, "one"), (None, None)], "doc_id bigint, text string")
     sizes = []
