@@ -223,12 +223,11 @@ def repeated_spans(docs: DataFrame, sheets: DataFrame, copies: DataFrame) -> Dat
 
     # one stretch of each kind, with its text, where the gram has stretches of several kinds
     kinds = shared.filter("NOT alike").groupBy("h", "c").agg(
-        F.count("*").alias("n"), F.min("row").alias("row"), F.max("far").alias("far"), F.max("near").alias("near")
+        F.count("*").alias("n"), F.min("row").alias("row"), F.min_by("q", "row").alias("q"), F.max("far").alias("far"), F.max("near").alias("near")
     )
     kinds = materialize(kinds, "kinds")
-    places = shared.filter("NOT alike").select("h", "c", "row", "q").groupBy("h", "c", "row").agg(F.min("q").alias("q"))
     body = F.substring(F.col("text").cast("binary"), (F.col("q") - F.col("far") + 1).cast("int"), (F.col("far") - F.col("near") + LENGTH).cast("int"))
-    bodies = kinds.join(places, ["h", "c", "row"]).join(texts.select("row", "text"), "row").select("h", "c", "n", "far", "near", body.alias("body"))
+    bodies = kinds.join(texts.select("row", "text"), "row").select("h", "c", "n", "far", "near", body.alias("body"))
     bodies = materialize(bodies, "bodies")
     sizes = bodies.groupBy("h").agg(F.count("*").alias("_k"))
     many = materialize(sizes.filter(F.col("_k") > GROUP_STRETCHES), "many")

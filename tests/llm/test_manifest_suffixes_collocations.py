@@ -113,6 +113,14 @@ def test_repeated_passages_with_hot_grams_small_buckets_and_long_texts(odd, monk
     assert found_passages(odd) == expected
 
 
+def test_kinds_of_stretches_take_their_place_without_a_second_grouping(odd, monkeypatch):
+    """The place of each kind comes with its count: no grouping of the shared stretches by row besides."""
+    plans, write = {}, suffixes.materialize
+    monkeypatch.setattr(suffixes, "materialize", lambda frame, name, *a: (plans.__setitem__(name, frame._jdf.queryExecution().optimizedPlan().toString()), write(frame, name, *a))[1])
+    suffixes.repeated_passages(odd)
+    assert plans["kinds"].count("Aggregate") == 1 and "Aggregate" not in plans["bodies"]
+
+
 def test_suffix_arrays_merge_geometrically():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 400, 1000).astype("S9")
