@@ -24,11 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(frame: DataFrame, purpose: str, rows_per_file: int = 0) -> DataFrame:
+def materialize(frame: DataFrame, purpose: str, rows_per_file: int = 0, options: dict[str, str] | None = None) -> DataFrame:
     """Write to the shared checkpoint folder and read again: cuts the lineage, survives lost executors."""
     spark = frame.sparkSession
     path = shared_dir(spark, purpose)
-    frame.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+    frame.write.options(**(options or {})).option("maxRecordsPerFile", rows_per_file).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
