@@ -104,10 +104,14 @@ class TensorReader(DataSourceReader):
 
 
 class TensorWriter(DataSourceArrowWriter):
-    """Tasks write under a pending folder; the driver moves all files into place, or none."""
+    """Tasks write under a pending folder; the driver moves all files into place, or none.
+
+    The driver makes the folder, so a task still running after the run was given up cannot bring it back.
+    """
 
     def __init__(self, path: str, overwrite: bool):
         self.path, self.overwrite, self.run = path, overwrite, uuid.uuid4().hex
+        open_store(path)[0].create_dir(self.pending)
 
     @property
     def pending(self) -> str:
@@ -115,7 +119,6 @@ class TensorWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, _ = open_store(self.path)
-        store.create_dir(self.pending)
         names: list[str] = []
         keys: list[str] = []
         cubes: list[np.ndarray] = []

@@ -3,6 +3,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import ChiSquareTest
@@ -123,3 +124,13 @@ def test_sparse_scores_are_the_dense_ones(spark):
     got = {r["row"]: r for r in select.sparse_scores(rows, cells, "row", select.sparse_stats(cells, 30), weights).collect()}
     assert np.allclose([got[i]["score"] for i in range(30)], z @ w, atol=1e-9)
     assert [got[i]["n_filled"] for i in range(30)] == np.count_nonzero(x, axis=1).tolist()
+
+
+def test_a_task_that_outlives_its_run_leaves_no_file(tmp_path):
+    path = str(tmp_path / "cube")
+    writer = tensors.TensorWriter(path, True)
+    writer.abort([])
+    late = pa.RecordBatch.from_pydict({"slot_key": ["2024010100"], "cube": [[1.0, 2.0]]})
+    with pytest.raises(FileNotFoundError):
+        writer.write(iter([late]))
+    assert not os.path.exists(path) or os.listdir(path) == []
